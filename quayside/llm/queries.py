@@ -15,6 +15,12 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_bytes(table(spark, sf_dir, "documents"))
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quayside.llm.simhash import simhash_query
+
+    return simhash_query(table(spark, sf_dir, "documents"))
+
+
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quayside.llm.digest import digest_query
 
