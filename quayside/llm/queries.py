@@ -39,6 +39,12 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_ledger(table(spark, sf_dir, "documents"))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quayside.llm.pii import pii_query
+
+    return pii_query(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
     return dict(sorted(found.items(), key=lambda kv: int(kv[0][2:].split("_")[0])))
