@@ -27,6 +27,12 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_query(table(spark, sf_dir, "documents"))
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quayside.llm.pieces import encode_documents
+
+    return encode_documents(table(spark, sf_dir, "documents"), "doc_id")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quayside.llm.quality_rules import quality_query
 
