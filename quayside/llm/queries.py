@@ -21,6 +21,12 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_query(table(spark, sf_dir, "documents"))
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quayside.llm.html_blocks import extract_pages
+
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quayside.llm.digest import digest_query
 
