@@ -15,6 +15,12 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_bytes(table(spark, sf_dir, "documents"))
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quayside.llm.mil_quality import quality_query
+
+    return quality_query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quayside.llm.simhash import simhash_query
 
