@@ -9,6 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from quayside.llm.common import table
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quayside.llm.suffix_dedup import suffix_query
+
+    return suffix_query(table(spark, sf_dir, "documents"))
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quayside.llm.sharding import shard_by_bytes
 
