@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 SPACE = "▁"
 LONG = 64
 CHUNK = 20_000
-CACHE = 400_000
+CACHE = 200_000
 _BIG = 1 << 30
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -208,8 +208,8 @@ def _conflict(m: PieceModel, p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return bad
 
 
-def _fold(m: PieceModel, words: list[str]) -> list[list[int]]:
-    """Lattice and fold of many words at once; n stands for an unknown character."""
+def _fold(m: PieceModel, words: list[str]) -> list[bytes]:
+    """Lattice and fold of many words at once: the ids of each as packed 32-bit integers."""
     lens = np.array([len(w) for w in words])
     count, width = len(words), int(lens.max())
     codes = np.array(words, dtype=f"<U{width}").view(np.uint32).reshape(count, width)
@@ -235,17 +235,23 @@ def _fold(m: PieceModel, words: list[str]) -> list[list[int]]:
             ok = ~_conflict(m, last[w, i], q)
             k, q, w = k[ok], q[ok], w[ok]
         last[w, i + 1 + k] = q
-    out: list[list[int]] = [[] for _ in words]
-    pos, live = lens.copy(), np.arange(count)
-    steps = []
+    pos, live, steps, sizes = lens.copy(), np.arange(count), [], np.zeros(count, np.int64)
     while len(live):
         t = last[live, pos[live]]
         steps.append((live, t))
+        sizes[live] += 1
         pos[live] -= m.length[t]
         live = live[pos[live] > 0]
-    for live, t in reversed(steps):
-        for w, x in zip(live.tolist(), t.tolist(), strict=True):
-            out[w].append(x)
+    ends = np.cumsum(sizes)
+    flat = np.empty(int(ends[-1]), np.int32)
+    for k, (live, t) in enumerate(steps):
+        flat[ends[live] - 1 - k] = t
+    unknown = np.maximum.reduceat(flat, ends - sizes) == m.n
+    packed = flat.tobytes()
+    cuts = (4 * ends).tolist()
+    out = [packed[x:y] for x, y in zip([0, *cuts], cuts, strict=False)]
+    for i in np.flatnonzero(unknown).tolist():
+        out[i] = _with_bytes(m, words[i], np.frombuffer(out[i], np.int32).tolist())
     return out
 
 
@@ -275,31 +281,30 @@ def _fold_one(m: PieceModel, word: str) -> list[int]:
     return out[::-1]
 
 
-def encode_words(m: PieceModel, words: list[str]) -> dict[str, list[int]]:
-    """Ids of distinct words (runs of characters without inner spaces)."""
-    found: dict[str, list[int]] = {}
+def encode_words(m: PieceModel, words: list[str]) -> dict[str, bytes]:
+    """Packed ids of distinct words (runs of characters without inner spaces)."""
+    found: dict[str, bytes] = {}
     order = sorted((w for w in words if len(w) <= LONG and "\x00" not in w), key=len)
     for at in range(0, len(order), CHUNK):
         part = order[at : at + CHUNK]
         found.update(zip(part, _fold(m, part), strict=True))
-    for w in words:
-        if w not in found:
-            found[w] = _fold_one(m, w)
-    for w, ids in found.items():
-        if m.n in ids:
-            found[w] = _with_bytes(m, w, ids)
+    if len(order) < len(words):
+        for w in words:
+            if w not in found:
+                found[w] = _with_bytes(m, w, _fold_one(m, w))
     return found
 
 
-def _with_bytes(m: PieceModel, word: str, ids: list[int]) -> list[int]:
+def _with_bytes(m: PieceModel, word: str, ids: list[int]) -> bytes:
+    """Packs ids, with byte pieces in place of unknown characters."""
     out, at = [], 0
     for i in ids:
         if i == m.n:
-            out += [m.bytes_at + b for b in word[at].encode()]
+            out += [m.bytes_at + b for b in word[at].encode("utf-8", "replace")]
         else:
             out.append(i)
         at += int(m.length[i])
-    return out
+    return np.array(out, np.int32).tobytes()
 
 
 def space_run(m: PieceModel, k: int) -> list[int]:
@@ -324,14 +329,16 @@ class Encoder:
     def _learn(self, units: set[str]) -> None:
         if len(self.cache) > CACHE:
             self.cache.clear()
-        new = [u for u in units if u not in self.cache]
-        parts = {u: self._runs(u) for u in new}
-        ids = encode_words(self.m, list({w for _, w in parts.values() if w}))
-        for u, (k, w) in parts.items():
-            got = ids[w] if w else []
-            if k and got and got[0] == self.lone:  # the last space stayed alone, so it belongs to the run
+        new = units.difference(self.cache)
+        runs = {u: self._runs(u) for u in new if u.startswith(SPACE + SPACE) or u == SPACE}
+        plain = [u for u in new if u not in runs] if runs else list(new)
+        self.cache.update(encode_words(self.m, plain))
+        words = encode_words(self.m, list({w for _, w in runs.values() if w}))
+        for u, (k, w) in runs.items():
+            got = np.frombuffer(words[w], np.int32) if w else np.empty(0, np.int32)
+            if k and len(got) and got[0] == self.lone:  # the last space stayed alone, so it belongs to the run
                 k, got = k + 1, got[1:]
-            self.cache[u] = np.array([*space_run(self.m, k), *got], np.int32).tobytes()
+            self.cache[u] = np.concatenate([space_run(self.m, k), got]).astype(np.int32).tobytes()
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         out: list[np.ndarray] = []
