@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 SPACE = "▁"
 LONG = 64
 CHUNK = 20_000
-CACHE = 200_000
+CACHE = 300_000
 _BIG = 1 << 30
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -213,28 +213,34 @@ def _fold(m: PieceModel, words: list[str]) -> list[bytes]:
     lens = np.array([len(w) for w in words])
     count, width = len(words), int(lens.max())
     codes = np.array(words, dtype=f"<U{width}").view(np.uint32).reshape(count, width)
-    # Explode and equi-join: the edge of each length at each place, -1 where no piece is.
     hashed = codes.astype(np.uint64) + np.uint64(1)
-    edge = np.full((m.longest + 1, count, width), -1, np.int32)
-    edge[1] = m.chars[codes]
-    h = hashed
-    for k in range(2, min(m.longest, width) + 1):
-        h = h[:, :-1] * _BASE + hashed[:, k - 1 :]
-        edge[k, :, : width - k + 1] = m.edges.find(h.ravel()).reshape(h.shape)
-    # Fold: last[w, j] is the piece that ends at j on the one way there.
+    upto = np.zeros((count, width + 1), np.uint64)
+    for k in range(width):
+        upto[:, k + 1] = upto[:, k] * _BASE + hashed[:, k]
+    single = m.chars[codes]
+    powers = np.multiply.accumulate(np.full(m.longest + 1, _BASE, np.uint64))  # powers[k] = base ** (k + 1)
+    # last[w, j] is the piece that ends at j on the one way there.
     last = np.full((count, width + 1), -1, np.int32)
     for i in range(width):
         rows = np.flatnonzero((lens > i) & ((last[:, i] >= 0) | (i == 0)))
         if not len(rows):
             continue
-        e = edge[1:, rows, i]
-        e = np.where(np.arange(1, m.longest + 1)[:, None] <= (lens[rows] - i)[None, :], e, -1)
-        k, r = np.nonzero(e >= 0)
-        q, w = e[k, r], rows[r]
+        # Explode and equi-join: all substrings from here, against the piece table.
+        most = min(m.longest, width - i)
+        e = np.full((len(rows), most), -1, np.int32)
+        e[:, 0] = single[rows, i]
+        if most > 1:
+            at = upto[rows, i]
+            h = upto[rows, i + 2 : i + most + 1] - at[:, None] * powers[1:most]
+            e[:, 1:] = m.edges.find(h.ravel()).reshape(h.shape)
+        # Fold: of the edges from here, those that may follow the piece that ends here.
+        r, k = np.nonzero(e >= 0)
+        q, w = e[r, k], rows[r]
         if i:
             ok = ~_conflict(m, last[w, i], q)
             k, q, w = k[ok], q[ok], w[ok]
-        last[w, i + 1 + k] = q
+        inside = i + 1 + k <= lens[w]
+        last[w[inside], i + 1 + k[inside]] = q[inside]
     pos, live, steps, sizes = lens.copy(), np.arange(count), [], np.zeros(count, np.int64)
     while len(live):
         t = last[live, pos[live]]
@@ -320,6 +326,7 @@ class Encoder:
     def __init__(self, model: PieceModel) -> None:
         self.m = model
         self.cache: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.lone = model.by_text.get(SPACE, -1)
 
     def _runs(self, unit: str) -> tuple[int, str]:
@@ -327,9 +334,12 @@ class Encoder:
         return (k, "") if k == len(unit) else (max(0, k - 1), unit[max(0, k - 1) :])
 
     def _learn(self, units: set[str]) -> None:
-        if len(self.cache) > CACHE:
-            self.cache.clear()
+        if len(self.cache) > CACHE // 2:  # words in use move on to the new half, the others go with the old one
+            self.cache, self.old = {}, self.cache
         new = units.difference(self.cache)
+        back = new.intersection(self.old)
+        self.cache.update((u, self.old[u]) for u in back)
+        new -= back
         runs = {u: self._runs(u) for u in new if u.startswith(SPACE + SPACE) or u == SPACE}
         plain = [u for u in new if u not in runs] if runs else list(new)
         self.cache.update(encode_words(self.m, plain))
