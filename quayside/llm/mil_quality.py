@@ -31,6 +31,8 @@ CODE, GATE = 24, 12
 BUCKETS = 1 << 14
 SAMPLE, SAMPLE_PASSAGES = 6000, 64
 EPOCHS, BATCH, RATE, DECAY, SEED = 30, 64, 0.005, 1e-5, 7
+#: Small samples are gone through more often.
+LEAST_STEPS = 800
 THRESHOLD = 0.7
 
 _SYMBOLS = frozenset("#*$%&|<>@=_{}[]\\^~/+")
@@ -153,7 +155,8 @@ def fit(bags: list[np.ndarray], labels: np.ndarray) -> Model:
     learnt = [k for k in w if k not in ("shift", "scale")]
     m1, m2 = {k: np.zeros_like(w[k]) for k in learnt}, {k: np.zeros_like(w[k]) for k in learnt}
     model, step = Model(w), 0
-    for epoch in range(EPOCHS if len(bags) else 0):
+    epochs = max(EPOCHS, -(-LEAST_STEPS // -(-len(bags) // BATCH))) if bags else 0
+    for epoch in range(epochs):
         order = rng.permutation(len(bags))
         for at in range(0, len(order), BATCH):
             pick = order[at : at + BATCH]
@@ -172,7 +175,7 @@ def fit(bags: list[np.ndarray], labels: np.ndarray) -> Model:
             dh = (att[:, None] * dz[owner] + dv @ w["v"].T + du @ w["u"].T) * (1 - h**2)
             g["we"], g["be"] = ((x - w["shift"]) / w["scale"]).T @ dh, dh.sum(0)
             step += 1
-            rate = RATE * (1 - 0.9 * epoch / EPOCHS)
+            rate = RATE * (1 - 0.9 * epoch / epochs)
             for k in learnt:
                 gk = g[k] + DECAY * w[k]
                 m1[k] = 0.9 * m1[k] + 0.1 * gk
