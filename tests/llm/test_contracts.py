@@ -473,3 +473,13 @@ def test_sql_gives_the_same_rows(spark, name):
 
 def test_ten_queries():
     assert [int(k[2:].split("_")[0]) for k in queries.queries()] == list(range(1, 11))
+
+
+def test_op7_relational_lattice_equals_the_arrays(spark, docs):
+    from quayside.llm import relational
+
+    m = pieces.load_model()
+    more = spark.createDataFrame([(300, "a  b   c\n\n  日本😀 x ", None, None, None), (301, " " * 35, None, None, None), (302, "  \n ", None, None, None)], SCHEMA)
+    d = docs.where("doc_id is null or doc_id not in (92, 93)").select("doc_id", "text").unionByName(more.select("doc_id", "text"))
+    got = [(r.doc_id, r.ids) for r in relational.encode_documents(d, m, "doc_id").collect()]
+    same(got, [(r.doc_id, r.ids) for r in pieces.encode_documents(d, "doc_id").collect()])
