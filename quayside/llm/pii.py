@@ -156,6 +156,7 @@ def _candidate_counts(docs: DataFrame, candidates: DataFrame) -> DataFrame:
     import xxhash
 
     bit = _bit(F.col("term"))
+    bit = bit + 1  # Spark counts bits from 1
     parts = candidates.groupBy(F.bitmap_bucket_number(bit).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("b")).collect()
     table = np.zeros(_BITS // 8 + 8192, np.uint8)  # bounded: at most _BITS bits however many candidates there are
     for r in parts:
