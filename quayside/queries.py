@@ -44,6 +44,11 @@ def r6(c: str) -> Column:
     return F.round(F.col(c), 6).alias(c)
 
 
+def r9(c: str) -> Column:
+    """For means of coordinates on a grid, which may lie half-way between two numbers of six decimals."""
+    return F.round(F.col(c), 9).alias(c)
+
+
 def us(c: str, name: str | None = None) -> Column:
     return F.unix_micros(c).alias(name or c)
 
@@ -406,9 +411,9 @@ def _split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return stationary.split_on_movement(t, SPARSE)
 
 
-@query("o20_stationary", f"WITH RECURSIVE {PERIODS_SQL} SELECT ssvid AS ident, CAST(period AS BIGINT) AS period, round(lat, 6) AS lat, round(lon, 6) AS lon, epoch_us(start_time) AS start_time, duration_us, destination, n, round(rms, 6) AS rms_drift_radius FROM still")
+@query("o20_stationary", f"WITH RECURSIVE {PERIODS_SQL} SELECT ssvid AS ident, CAST(period AS BIGINT) AS period, round(lat, 9) AS lat, round(lon, 9) AS lon, epoch_us(start_time) AS start_time, duration_us, destination, n, round(rms, 6) AS rms_drift_radius FROM still")
 def _(spark, sf_dir):
-    return _split(spark, sf_dir)[0].select("ident", "period", r6("lat"), r6("lon"), us("start_time"), "duration_us", "destination", "n", r6("rms_drift_radius"))
+    return _split(spark, sf_dir)[0].select("ident", "period", r9("lat"), r9("lon"), us("start_time"), "duration_us", "destination", "n", r6("rms_drift_radius"))
 
 
 @query("o22_active", f"WITH RECURSIVE {PERIODS_SQL} SELECT event_id, ssvid AS ident FROM moving")
@@ -423,7 +428,7 @@ cells AS (SELECT s2id, count(*) AS total_visits, avg(lat) AS lat, avg(lon) AS lo
 mv AS (SELECT m_token AS s2id, count(DISTINCT ssvid) AS na, CAST(count(DISTINCT (ssvid, CAST(ts AS DATE))) AS DOUBLE) AS da FROM m_tok GROUP BY 1),
 un AS (SELECT s2id, count(DISTINCT ssvid) AS nt FROM (SELECT s2id, ssvid FROM st UNION ALL SELECT m_token, ssvid FROM m_tok) GROUP BY s2id),
 top AS (SELECT s2id, upper(destination) AS name FROM (SELECT s2id, destination, count(*) AS n FROM st GROUP BY s2id, destination) QUALIFY row_number() OVER (PARTITION BY s2id ORDER BY n DESC, upper(destination)) = 1),
-anc AS (SELECT c.s2id, round(lat, 6) AS lat, round(lon, 6) AS lon, total_visits, round(drift_radius, 6) AS drift_radius, coalesce(name, '') AS top_destination, ns, nf, coalesce(na, 0) AS na, nt, ds, df, coalesce(da, 0) AS da FROM cells c LEFT JOIN mv USING (s2id) JOIN un USING (s2id) LEFT JOIN top USING (s2id))"""
+anc AS (SELECT c.s2id, round(lat, 9) AS lat, round(lon, 9) AS lon, total_visits, round(drift_radius, 6) AS drift_radius, coalesce(name, '') AS top_destination, ns, nf, coalesce(na, 0) AS na, nt, ds, df, coalesce(da, 0) AS da FROM cells c LEFT JOIN mv USING (s2id) JOIN un USING (s2id) LEFT JOIN top USING (s2id))"""
 
 
 def _anchorages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -431,14 +436,18 @@ def _anchorages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return anch.find_anchorages(*_split(spark, sf_dir), fishing, SPARSE.min_vessels)
 
 
+def _rounded(a: DataFrame) -> DataFrame:
+    six = ("drift_radius", "stationary_ssvid_days", "stationary_fishing_ssvid_days")
+    return a.select(*(r9(c) if c in ("lat", "lon") else r6(c) if c in six else F.col(c) for c in a.columns))
+
+
 @query(
     "o23_anchorages",
     f"WITH RECURSIVE {ANCHORAGES_SQL} SELECT s2id, lat, lon, total_visits, drift_radius, top_destination, ns AS unique_stationary_ssvid, nf AS unique_stationary_fishing_ssvid, na AS unique_active_ssvid, nt AS unique_total_ssvid, round(ds, 6) AS stationary_ssvid_days, round(df, 6) AS stationary_fishing_ssvid_days, da AS active_ssvid_days FROM anc",
 )
 def _(spark, sf_dir):
     a = _anchorages(spark, sf_dir)
-    rounded = ("lat", "lon", "drift_radius", "stationary_ssvid_days", "stationary_fishing_ssvid_days")
-    return a.select(*(r6(c) if c in rounded else F.col(c) for c in a.columns))
+    return _rounded(a)
 
 
 @query("o24_top_destination", f"WITH RECURSIVE {ANCHORAGES_SQL} SELECT s2id, name AS top_destination FROM top")
@@ -603,7 +612,22 @@ def _(spark, sf_dir):
     return v.select("visit_id", "ssvid", "vessel_id", us("start_timestamp"), us("end_timestamp"), "n_events", "confidence")
 
 
-@query("e1_anchorages")
+#: The whole entry point: the period and anchorage SQL over joined and thinned positions in place of the plain tracks.
+E1_SQL = (
+    SEGMENTS_SQL
+    + """, jn AS (SELECT t.ssvid, t.event_id, t.ts, t.lat, t.lon, t.speed, s.destination AS event_type FROM trk t JOIN seg s USING (seg_id, day)),
+jl AS (SELECT *, epoch_us(ts) AS t, row_number() OVER (PARTITION BY ssvid ORDER BY ts, speed, lat, lon) AS rn FROM jn WHERE ssvid IN (SELECT ssvid FROM jn GROUP BY ssvid HAVING count(*) >= 20)),
+th AS (SELECT event_id, ssvid, rn, t AS kept, true AS keep FROM jl WHERE rn = 1 UNION ALL SELECT j.event_id, j.ssvid, j.rn, CASE WHEN j.t - th.kept >= 300000000 THEN j.t ELSE th.kept END, j.t - th.kept >= 300000000 FROM th JOIN jl j ON j.ssvid = th.ssvid AND j.rn = th.rn + 1),
+kept AS (SELECT j.* EXCLUDE (rn) FROM jl j JOIN th USING (event_id) WHERE th.keep)"""
+    + ANCHORAGES_SQL[len(TRACKS_SQL) :].replace("AS rn FROM trk)", "AS rn FROM kept)", 1)
+)
+
+
+@query(
+    "e1_anchorages",
+    f"WITH RECURSIVE {E1_SQL} SELECT s2id, lat, lon, total_visits, drift_radius, top_destination, ns AS unique_stationary_ssvid, nf AS unique_stationary_fishing_ssvid, na AS unique_active_ssvid, nt AS unique_total_ssvid, round(ds, 6) AS stationary_ssvid_days, round(df, 6) AS stationary_fishing_ssvid_days, da AS active_ssvid_days FROM anc",
+)
 def _(spark, sf_dir):
     fishing = spark.read.parquet(f"{sf_dir}/events.parquet").where("user_id % 3 = 0").select(F.col("user_id").cast("string").alias("ssvid"))
-    return pipelines.anchorages(tracks(spark, sf_dir), segments(spark, sf_dir), fishing, SPARSE, START, END)
+    a = pipelines.anchorages(tracks(spark, sf_dir), segments(spark, sf_dir), fishing, SPARSE, START, END)
+    return _rounded(a)
