@@ -14,6 +14,8 @@ table gives an empty result; a single row is followed by itself; other columns a
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -56,6 +58,18 @@ def with_fingerprint(df: DataFrame, form: str, out: str, clashes: DataFrame | No
     return df.withColumn(out, F.when(F.col("_nth").isNull(), F.col(out)).otherwise(F.concat(F.col(out), F.lit("-"), F.col("_nth").cast("string")))).drop("_hash", "_form", "_nth")
 
 
+def _bucket_of(value: Column, edges: list[int]) -> Column:
+    """How many of the ascending edges are at most value. Two levels, so that a row looks at about twice the root of their number."""
+    if not edges:
+        return F.lit(0)
+    step = math.isqrt(len(edges)) + 1
+    longs = lambda xs: F.array(*[F.lit(x).cast("long") for x in xs])
+    upto = lambda xs: F.size(F.filter(xs, lambda e: e <= value))
+    coarse = upto(longs(edges[::step]))
+    fine = F.get(F.array(*[longs(edges[i : i + step]) for i in range(0, len(edges), step)]), coarse - 1)
+    return F.when(coarse == 0, 0).otherwise((coarse - 1) * step + upto(fine))
+
+
 def next_text(docs: DataFrame) -> DataFrame:
     """doc_id, text, next: each row's text and that of the row after it by ascending id; the first follows the last.
 
@@ -65,13 +79,9 @@ def next_text(docs: DataFrame) -> DataFrame:
     d = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
     n = 2 * shuffle_partitions(spark)
     ids = d.where("doc_id is not null").select("doc_id")
-    at = ids.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 10_000).alias("p"), F.min("doc_id").alias("least")).first()
+    at = ids.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], max(10_000, 10 * n)).alias("p"), F.min("doc_id").alias("least")).first()
     edges = sorted({int(x) for x in (at["p"] or [])} - {at["least"]})
-    if edges:
-        arr = F.array(*[F.lit(x).cast("long") for x in edges])
-        bucket = F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(F.size(F.filter(arr, lambda e: e <= F.col("doc_id"))))
-    else:
-        bucket = F.lit(0)
+    bucket = F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(_bucket_of(F.col("doc_id"), edges))
     d = d.withColumn("bucket", bucket.cast("int"))
     # Edges are ids of rows, so a bucket's first row is the least text with that id; the table's first row is found apart.
     heads = d.where(F.col("doc_id").isin(edges) if edges else F.lit(False)).groupBy("bucket").agg(F.min("text").alias("text"))
