@@ -42,32 +42,55 @@ def number_periods(records: DataFrame, max_km: float, key: str = "ident") -> Dat
     return ordered_scan(records, key, _ORDER).mapInArrow(run, records.schema.add("period", "long"))
 
 
-def stationary_periods(numbered: DataFrame, min_minutes: int, key: str = "ident") -> DataFrame:
-    """One row for each period longer than min_minutes that is not its key's last: mean place, start, duration, first
-    destination, root mean square distance from the mean place."""
-    by = F.struct(*_ORDER)
-    p = numbered.groupBy(key, "period").agg(
-        F.avg("lat").alias("lat"), F.avg("lon").alias("lon"), F.min("timestamp").alias("start_time"), F.max("timestamp").alias("end_time"), F.min_by("destination", by).alias("destination"), F.count(F.lit(1)).alias("n")
+def with_periods(numbered: DataFrame, min_minutes: int, key: str = "ident") -> DataFrame:
+    """Beside each record its period: still (longer than min_minutes and not its key's last), first and last (in the period), and
+    the struct period_stats: mean place, start, duration, first destination, count, root mean square distance from the mean place.
+
+    All windows are within a key, so one exchange serves them."""
+    whole = Window.partitionBy(key, "period")
+    order = [F.col(c).asc_nulls_first() for c in _ORDER]
+    along = whole.orderBy(*order)
+    d = numbered.withColumns(
+        {
+            "_lat": F.avg("lat").over(whole), "_lon": F.avg("lon").over(whole), "_start": F.min("timestamp").over(whole), "_end": F.max("timestamp").over(whole), "_n": F.count(F.lit(1)).over(whole),
+            "first": F.row_number().over(along) == 1, "last": F.lead(F.lit(1)).over(along).isNull(), "_to": F.first("destination").over(along), "_final": F.max("period").over(Window.partitionBy(key)),
+        }
     )
-    last = F.max("period").over(Window.partitionBy(key))
-    p = p.withColumn("duration_us", F.unix_micros("end_time") - F.unix_micros("start_time")).withColumn("_last", last)
-    p = p.where((F.col("duration_us") > min_minutes * 60_000_000) & (F.col("period") < F.col("_last"))).drop("_last")
-    at = numbered.select(key, "period", F.col("lat").alias("_lat"), F.col("lon").alias("_lon")).join(p.select(key, "period", "lat", "lon"), [key, "period"])
-    d = at.groupBy(key, "period").agg(F.sqrt(F.avg(F.pow(haversine_km(F.col("_lat"), F.col("_lon"), F.col("lat"), F.col("lon")), F.lit(2)))).alias("rms_drift_radius"))
-    return p.join(d, [key, "period"])
+    away = F.pow(haversine_km(F.col("lat"), F.col("lon"), F.col("_lat"), F.col("_lon")), F.lit(2))
+    d = d.withColumns({"_rms": F.sqrt(F.avg(away).over(whole)), "_us": F.unix_micros("_end") - F.unix_micros("_start")})
+    stats = F.struct(F.col("_lat").alias("lat"), F.col("_lon").alias("lon"), F.col("_start").alias("start_time"), F.col("_end").alias("end_time"), F.col("_us").alias("duration_us"), F.col("_to").alias("destination"), F.col("_n").alias("n"), F.col("_rms").alias("rms_drift_radius"))
+    d = d.withColumns({"still": (F.col("_us") > min_minutes * 60_000_000) & (F.col("period") < F.col("_final")), "period_stats": stats})
+    return d.drop("_lat", "_lon", "_start", "_end", "_n", "_to", "_final", "_rms", "_us")
 
 
-def active_records(numbered: DataFrame, stationary: DataFrame, key: str = "ident") -> DataFrame:
-    """All records outside stationary periods, and the first and last of each inside."""
-    s = stationary.select(key, "period", F.lit(True).alias("_still"))
-    w = Window.partitionBy(key, "period").orderBy(*(F.col(c).asc_nulls_first() for c in _ORDER))
-    d = numbered.withColumns({"_first": F.row_number().over(w) == 1, "_last": F.lead(F.lit(1)).over(w).isNull()}).join(s, [key, "period"], "left")
-    return d.where(F.col("_still").isNull() | F.col("_first") | F.col("_last")).drop("_still", "_first", "_last", "period")
+def stationary_periods(periods: DataFrame, key: str = "ident") -> DataFrame:
+    """One row for each stationary period, with the cell of its mean place."""
+    p = periods.where(F.col("still") & F.col("first")).select(key, "period", "period_stats.*")
+    return p.withColumn("s2id", s2_token(F.col("lat"), F.col("lon"), ANCHORAGE_LEVEL))
+
+
+def active_records(periods: DataFrame) -> DataFrame:
+    """All records outside stationary periods, and the first and last of each inside, with their cells."""
+    a = periods.where(~F.col("still") | F.col("first") | F.col("last")).drop("still", "first", "last", "period", "period_stats")
+    return a.withColumn("s2id", s2_token(F.col("lat"), F.col("lon"), ANCHORAGE_LEVEL))
+
+
+def number_and_measure(records: DataFrame, config: Config, key: str = "ident") -> DataFrame:
+    return with_periods(number_periods(records, config.stationary_km, key), config.stationary_minutes, key)
 
 
 def split_on_movement(records: DataFrame, config: Config, key: str = "ident") -> tuple[DataFrame, DataFrame]:
     """(stationary, active), each with s2id: of the mean place, and of the record."""
-    numbered = number_periods(records, config.stationary_km, key)
-    still = stationary_periods(numbered, config.stationary_minutes, key)
-    cell = s2_token(F.col("lat"), F.col("lon"), ANCHORAGE_LEVEL)
-    return still.withColumn("s2id", cell), active_records(numbered, still, key).withColumn("s2id", cell)
+    p = number_and_measure(records, config, key)
+    return stationary_periods(p, key), active_records(p)
+
+
+def cell_marks(periods: DataFrame, key: str = "ident") -> DataFrame:
+    """Both sides of the split as one table, so that nothing before it runs twice: s2id, the key, stay (a period's struct, or
+    null) and moved (the UTC day of an active record, or null)."""
+    cell = lambda lat, lon: s2_token(lat, lon, ANCHORAGE_LEVEL)
+    stay, none = F.col("period_stats"), F.lit(None).cast("date")
+    at_rest = F.struct(cell(stay["lat"], stay["lon"]).alias("s2id"), stay.alias("stay"), none.alias("moved"))
+    on_move = F.struct(cell(F.col("lat"), F.col("lon")).alias("s2id"), F.lit(None).cast(periods.schema["period_stats"].dataType).alias("stay"), F.to_date("timestamp").alias("moved"))
+    both = F.filter(F.array(F.when(F.col("still") & F.col("first"), at_rest), F.when(~F.col("still") | F.col("first") | F.col("last"), on_move)), lambda m: m.isNotNull())
+    return periods.select(key, F.explode(both).alias("m")).select(key, "m.*")

@@ -46,7 +46,8 @@ def smart_thin(records: DataFrame, config: Config, key: str = "seg_id") -> DataF
     group = (key, "day")
     order = [F.col(c).asc_nulls_first() for c in ("timestamp", "speed", "lat", "lon")]
     w = Window.partitionBy(*group).orderBy(*order)
-    d = with_states(records.withColumn("day", F.to_date("timestamp")), config, group, ("timestamp", "speed", "lat", "lon"))
+    rows = records if "day" in records.columns else records.withColumn("day", F.to_date("timestamp"))
+    d = with_states(rows, config, group, ("timestamp", "speed", "lat", "lon"))
     gap_after = F.unix_micros("timestamp") - F.unix_micros(F.lag("timestamp").over(w)) >= config.min_gap * 60_000_000
     d = d.withColumns(
         {

@@ -13,7 +13,7 @@ from quayside.operators.events import port_events
 from quayside.operators.naming import name_anchorages
 from quayside.operators.nearest import tag_nearest
 from quayside.operators.records import create_records, create_tagged_records_by_day, dedup_by_timestamp, long_enough, only_locations
-from quayside.operators.stationary import split_on_movement
+from quayside.operators.stationary import cell_marks, number_and_measure
 from quayside.operators.thinning import greedy_thin, smart_thin
 from quayside.operators.visits import port_visits, voyages
 from quayside.sources.scans import anchorage_positions, thinning_positions, visit_messages
@@ -28,8 +28,7 @@ def anchorages(positions: DataFrame, segments: DataFrame, fishing: DataFrame, co
     r = only_locations(create_records(anchorage_positions(positions, segments, start, end))).drop("kind")
     r = long_enough(dedup_by_timestamp(r, "ident"), config.min_positions, "ident")
     r = r.withColumn("destination", F.lit("") if legacy_destination else F.coalesce("destination", F.lit("")))
-    still, moving = split_on_movement(greedy_thin(r), config)
-    return find_anchorages(still, moving, fishing, config.min_vessels)
+    return find_anchorages(cell_marks(number_and_measure(greedy_thin(r), config)), fishing, config.min_vessels)
 
 
 def thin_port_messages(positions: DataFrame, named: DataFrame, config: Config, start: dt.date, end: dt.date, ssvids: DataFrame | list[str] | None = None) -> DataFrame:

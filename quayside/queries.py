@@ -406,19 +406,19 @@ act AS (SELECT n.ssvid, n.event_id, n.ts, n.lat, n.lon, row_number() OVER w = 1
 moving AS (SELECT * FROM act WHERE NOT inside OR first OR last)"""
 
 
-def _split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def _periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = tracks(spark, sf_dir).select(F.col("ssvid").alias("ident"), "event_id", "timestamp", "lat", "lon", "speed", F.col("event_type").alias("destination"))
-    return stationary.split_on_movement(t, SPARSE)
+    return stationary.number_and_measure(t, SPARSE)
 
 
 @query("o20_stationary", f"WITH RECURSIVE {PERIODS_SQL} SELECT ssvid AS ident, CAST(period AS BIGINT) AS period, round(lat, 9) AS lat, round(lon, 9) AS lon, epoch_us(start_time) AS start_time, duration_us, destination, n, round(rms, 6) AS rms_drift_radius FROM still")
 def _(spark, sf_dir):
-    return _split(spark, sf_dir)[0].select("ident", "period", r9("lat"), r9("lon"), us("start_time"), "duration_us", "destination", "n", r6("rms_drift_radius"))
+    return stationary.stationary_periods(_periods(spark, sf_dir)).select("ident", "period", r9("lat"), r9("lon"), us("start_time"), "duration_us", "destination", "n", r6("rms_drift_radius"))
 
 
 @query("o22_active", f"WITH RECURSIVE {PERIODS_SQL} SELECT event_id, ssvid AS ident FROM moving")
 def _(spark, sf_dir):
-    return _split(spark, sf_dir)[1].select("event_id", "ident")
+    return stationary.active_records(_periods(spark, sf_dir)).select("event_id", "ident")
 
 
 ANCHORAGES_SQL = f"""{PERIODS_SQL}, {s2_sql("still", "lat", "lon", 14, "c")}, {s2_sql("moving", "lat", "lon", 14, "m")},
@@ -433,7 +433,7 @@ anc AS (SELECT c.s2id, round(lat, 9) AS lat, round(lon, 9) AS lon, total_visits,
 
 def _anchorages(spark: SparkSession, sf_dir: str) -> DataFrame:
     fishing = spark.read.parquet(f"{sf_dir}/events.parquet").where("user_id % 3 = 0").select(F.col("user_id").cast("string").alias("ssvid"))
-    return anch.find_anchorages(*_split(spark, sf_dir), fishing, SPARSE.min_vessels)
+    return anch.find_anchorages(stationary.cell_marks(_periods(spark, sf_dir)), fishing, SPARSE.min_vessels)
 
 
 def _rounded(a: DataFrame) -> DataFrame:
@@ -452,7 +452,7 @@ def _(spark, sf_dir):
 
 @query("o24_top_destination", f"WITH RECURSIVE {ANCHORAGES_SQL} SELECT s2id, name AS top_destination FROM top")
 def _(spark, sf_dir):
-    return anch.top_destinations(_split(spark, sf_dir)[0])
+    return anch.top_destinations(stationary.stationary_periods(_periods(spark, sf_dir)))
 
 
 # ---- names ------------------------------------------------------------------------------------------------------------------
