@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 
 from quayside.config import Config
 from quayside.plans import pipelines
+from quayside.shipping import ship
 from quayside.sources import scans, sinks
 
 
@@ -38,6 +39,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("-c", "--min_confidence", type=int, choices=(2, 3, 4), default=2)
     a = top.parse_args(argv)
     spark = SparkSession.builder.appName(f"quayside {a.command}").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    ship(spark)
     read = spark.read.parquet
     if a.command == "anchorages":
         sinks.write_table(pipelines.anchorages(read(a.positions), read(a.segments), scans.lines(spark, a.fishing_ssvid_list), Config(), a.start_date, a.end_date), a.output)
