@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -223,13 +224,15 @@ def pack_run(entries: list[tuple[bytes, bytes, int, int, bool]]) -> bytes:
         np.array([e[2] for e in entries], np.int64).tobytes(),
         np.array([e[3] for e in entries], np.int32).tobytes(),
     ]
-    return struct.pack("<i", len(entries)) + b"".join(parts) + b"".join(tails) + b"".join(e[1] for e in entries)
+    body = struct.pack("<i", len(entries)) + b"".join(parts) + b"".join(tails) + b"".join(e[1] for e in entries)
+    return zstandard.ZstdCompressor(level=3).compress(body)
 
 
 class Run:
     """A front-coded run, read entry by entry: `suffix`, and `shared` with the entry before."""
 
     def __init__(self, blob: bytes) -> None:
+        blob = zstandard.ZstdDecompressor().decompress(blob)
         n = self.n = struct.unpack_from("<i", blob)[0]
         at = 4
         cols = []
