@@ -105,11 +105,10 @@ def cells(lat: np.ndarray, lon: np.ndarray, level: int) -> tuple[np.ndarray, np.
     return face, at(u), at(v)
 
 
-def neighbourhood(lat: np.ndarray, lon: np.ndarray, level: int) -> list[list[str]]:
-    """Tokens of each point's cell and of all that touch it, across face edges too; a cube corner has one fewer."""
+def _around(lat: np.ndarray, lon: np.ndarray, level: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(face, i, j) of each point's cell and of all that touch it, across face edges too."""
     face, i, j = cells(lat, lon, level)
     size = 1 << level
-    found: list[set[str]] = [set() for _ in range(len(face))]
     for di in (-1, 0, 1):
         for dj in (-1, 0, 1):
             a, b = i + di, j + dj
@@ -118,10 +117,12 @@ def neighbourhood(lat: np.ndarray, lon: np.ndarray, level: int) -> list[list[str
             lin = lambda n: np.clip((2 * n + 1 - size) / size, -1 - 1e-9, 1 + 1e-9)
             f2, u2, v2 = _faces(_xyz(face, lin(a), lin(b)))
             back = lambda x: np.clip(np.floor(size * 0.5 * (x + 1)), 0, size - 1).astype(np.int64)
-            names = tokens(np.where(out, f2, face), np.where(out, back(u2), np.clip(a, 0, size - 1)), np.where(out, back(v2), np.clip(b, 0, size - 1)), level)
-            for s, t in zip(found, names, strict=True):
-                s.add(t)
-    return [sorted(s) for s in found]
+            yield np.where(out, f2, face), np.where(out, back(u2), np.clip(a, 0, size - 1)), np.where(out, back(v2), np.clip(b, 0, size - 1))
+
+
+def neighbourhood(lat: np.ndarray, lon: np.ndarray, level: int) -> list[list[str]]:
+    """Tokens of each point's cell and of all that touch it; a cube corner has one fewer."""
+    return [sorted(set(x)) for x in zip(*(tokens(*c, level) for c in _around(lat, lon, level)), strict=True)]
 
 
 def neighbour_tokens(lat: Column, lon: Column, level: int) -> Column:
@@ -133,3 +134,21 @@ def neighbour_tokens(lat: Column, lon: Column, level: int) -> Column:
             yield pd.Series(neighbourhood(a.to_numpy(float), b.to_numpy(float), level), dtype=object)
 
     return run(lat, lon)
+
+
+def cell_key(lat: Column, lon: Column, level: int) -> Column:
+    """A cell as one long, for joins: it says what the token says without the walk along the curve."""
+    c = face_ij(lat, lon, level)
+    return F.when(lat.isNotNull() & lon.isNotNull(), F.transform(F.array(c), lambda x: x["face"] * (1 << 40) + x["i"] * (1 << 20) + x["j"])[0])
+
+
+def neighbour_keys(lat: Column, lon: Column, level: int) -> Column:
+    """array of cell_key of a point's cell and of all that touch it; for the small side of a join."""
+
+    @F.pandas_udf("array<bigint>")
+    def run(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for a, b in parts:
+            keys = [(f.astype(np.int64) << 40) + (i << 20) + j for f, i, j in _around(a.to_numpy(float), b.to_numpy(float), level)]
+            yield pd.Series([sorted(set(x)) for x in zip(*(k.tolist() for k in keys), strict=True)], dtype=object)
+
+    return run(lat, lon)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quayside.config import ANCHORAGE_LEVEL, VISIT_LEVEL, Config
 from quayside.functions.geo import haversine_km
 from quayside.functions.names import normalize_label
-from quayside.functions.s2 import neighbour_tokens, s2_token
+from quayside.functions.s2 import cell_key, neighbour_keys, s2_token
 from quayside.operators.polygons import first_polygon
 
 
@@ -18,9 +18,9 @@ def nearest_listed_port(anchorages: DataFrame, ports: DataFrame, config: Config)
 
     ports: source, list_no, row_no, iso3, label, sublabel, lat, lon. The label distance is far below a visit cell's width, so the
     join on the cell and its neighbours misses none."""
-    p = ports.select(F.struct("source", "list_no", "row_no", "iso3", "label", "sublabel", "lat", "lon").alias("p"), F.explode(neighbour_tokens(F.col("lat"), F.col("lon"), VISIT_LEVEL)).alias("_cell"))
+    p = ports.select(F.struct("source", "list_no", "row_no", "iso3", "label", "sublabel", "lat", "lon").alias("p"), F.explode(neighbour_keys(F.col("lat"), F.col("lon"), VISIT_LEVEL)).alias("_cell"))
     p = p.groupBy("_cell").agg(F.collect_list("p").alias("_ports"))
-    d = anchorages.withColumn("_cell", s2_token(F.col("lat"), F.col("lon"), VISIT_LEVEL)).join(p, "_cell", "left")
+    d = anchorages.withColumn("_cell", cell_key(F.col("lat"), F.col("lon"), VISIT_LEVEL)).join(p, "_cell", "left")
     rank = lambda x: F.struct(x["list_no"].alias("list_no"), haversine_km(F.col("lat"), F.col("lon"), x["lat"], x["lon"]).alias("dist"), (-x["row_no"]).alias("later"), x.alias("p"))
     best = F.array_min(F.filter(F.transform("_ports", rank), lambda x: x["dist"] <= config.label_km))
     d = d.withColumn("_best", best)

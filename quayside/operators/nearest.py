@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from quayside.config import VISIT_LEVEL
 from quayside.functions.geo import haversine_km
-from quayside.functions.s2 import neighbour_tokens, s2_token
+from quayside.functions.s2 import cell_key, neighbour_keys
 
 
 def anchorages_by_cell(anchorages: DataFrame, level: int = VISIT_LEVEL) -> DataFrame:
     """(cell, near): each cell with the anchorages in it and around it. anchorages: s2id, lat, lon."""
-    a = anchorages.select(F.struct("s2id", "lat", "lon").alias("a"), F.explode(neighbour_tokens(F.col("lat"), F.col("lon"), level)).alias("cell"))
+    a = anchorages.select(F.struct("s2id", "lat", "lon").alias("a"), F.explode(neighbour_keys(F.col("lat"), F.col("lon"), level)).alias("cell"))
     return a.groupBy("cell").agg(F.collect_list("a").alias("near"))
 
 
@@ -21,7 +21,7 @@ def tag_nearest(positions: DataFrame, anchorages: DataFrame, level: int = VISIT_
 
     An equi-join on the cell, one row of anchorages for each: positions are neither multiplied nor grouped again. Without a
     hint, the cell table is broadcast only while its size is under Spark's threshold."""
-    p = positions.withColumn("_cell", s2_token(F.col("lat"), F.col("lon"), level))
+    p = positions.withColumn("_cell", cell_key(F.col("lat"), F.col("lon"), level))
     d = p.join(anchorages_by_cell(anchorages, level), F.col("_cell") == F.col("cell"), "left")
     here = lambda a: F.struct(haversine_km(F.col("lat"), F.col("lon"), a["lat"], a["lon"]).alias("dist"), a["s2id"].alias("s2id"), a["lat"].alias("lat"), a["lon"].alias("lon"))
     d = d.withColumn("_port", F.array_min(F.transform("near", here)))
