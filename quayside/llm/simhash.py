@@ -16,8 +16,7 @@ each pair of chunks is one task's work, so no task holds an unbounded shard.
 
 Near-copies in the everyday sense, word-shingle sets alike by 0.8, are farther apart than 4 bits (mostly 6 to 15), where neither blocks nor
 trees over 64 bits are selective. `one_of_each` therefore deals documents to shards by minima of their shingle hashes, takes the
-fingerprints' distance as a sieve inside a shard, and decides by the shingle sets themselves: exactly for sets of up to SKETCH
-shingles, else over a common sample of them.
+fingerprints' distance as a sieve inside a shard, and decides by the whole shingle sets.
 
 Defined cases: null and empty texts have fingerprint zero and are linked like any other; null ids never become a
 component's id unless all its ids are null; repeated rows are copies; an empty table gives an empty result; other columns
@@ -27,6 +26,7 @@ are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from fractions import Fraction
 from itertools import accumulate, combinations
 from math import comb
 
@@ -44,7 +44,6 @@ SEED = 42
 RADIUS = 4
 #: Near-copies: shingle sets that are alike by 0.8. Their fingerprints differ in up to 17 bits in our tables, so 18 is the first sieve.
 SIMILARITY, WIDE_RADIUS = 0.8, 18
-SKETCH = 256
 #: Shards of the wide search: hashes of ROWS minima of the shingles; of two sets alike by 0.8 one in 200 shares none.
 TABLES, ROWS = 10, 4
 _ODD = np.random.default_rng(SEED).integers(1 << 62, 1 << 63, TABLES * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -277,76 +276,84 @@ def _minima(u: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, *keep: str, shingle: int) -> DataFrame:
-    """The columns in keep; fp; node, one for each set of shingles; shards; and sketch, the SKETCH least 32-bit shingle hashes."""
+    """The columns in keep; fp; node, one for each set of shingles; shards; and shingles, the whole set in order, 8 bytes each."""
     import xxhash
 
     names = list(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp, node, shards, sketch = [], [], [], []
+            fp, node, shards, sets = [], [], [], []
             for t in b.column(len(names)):
                 h = shingle_hashes(t.as_py() or b"", shingle)
                 u = np.unique(h)
-                small = np.unique((u >> np.uint64(32)).astype(np.uint32))
                 fp.append(simhash(h))
                 node.append(np.array([xxhash.xxh64_intdigest(u.tobytes())], np.uint64).view(np.int64)[0])
                 shards.append(_minima(u))
-                sketch.append(small[:SKETCH].tobytes())
+                sets.append(u.tobytes())
             flat = pa.array(np.concatenate(shards) if shards else np.empty(0, np.int64))
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(shards) + 1, dtype=np.int32) * TABLES), flat)
-            yield pa.RecordBatch.from_arrays([*b.columns[: len(names)], pa.array(fp, pa.int64()), pa.array(node, pa.int64()), lists, pa.array(sketch, pa.binary())], [*names, "fp", "node", "shards", "sketch"])
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(names)], pa.array(fp, pa.int64()), pa.array(node, pa.int64()), lists, pa.array(sets, pa.binary())], [*names, "fp", "node", "shards", "shingles"])
 
     src = docs.select(*names, F.col("text").cast("binary").alias("_bytes"))
-    return src.mapInArrow(run, docs.select(*names).schema.add("fp", "long").add("node", "long").add("shards", T.ArrayType(T.LongType())).add("sketch", "binary"))
-
-
-def resemblance(x: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
-    """Jaccard similarity of shingle sets from their sketches: exact for sets that fit, else over the hashes below the lower of
-    the two sketches' ends."""
-    out = np.empty(len(others))
-    for i, y in enumerate(others):
-        ends = [z[-1] for z in (x, y) if len(z) == SKETCH]
-        a, b = (x, y) if not ends else (z[: np.searchsorted(z, min(ends), "right")] for z in (x, y))
-        both = len(np.intersect1d(a, b, assume_unique=True))
-        out[i] = both / max(1, len(a) + len(b) - both) if len(a) or len(b) else 1.0
-    return out
+    return src.mapInArrow(run, docs.select(*names).schema.add("fp", "long").add("node", "long").add("shards", T.ArrayType(T.LongType())).add("shingles", "binary"))
+
+
+class SetIndex:
+    """Which of some shingle sets contain each shingle; a set meets only those with which it shares one."""
+
+    def __init__(self, sets: list[np.ndarray]) -> None:
+        self.size = np.array([len(x) for x in sets], np.int64)
+        self.end = np.cumsum(self.size)
+        _, self.word, self.count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        owner = np.repeat(np.arange(len(sets)), self.size)
+        self.owners = owner[np.argsort(self.word, kind="stable")]
+        self.first = np.cumsum(self.count) - self.count
+
+    def alike(self, i: int, least: Fraction) -> np.ndarray:
+        """For each set whether its Jaccard similarity to set i is `least` or more, in whole numbers."""
+        w = self.word[self.end[i] - self.size[i] : self.end[i]]
+        n = self.count[w]
+        at = np.repeat(self.first[w] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        both = np.bincount(self.owners[at], minlength=len(self.size))
+        return (both > 0) & (both * least.denominator >= (self.size + self.size[i] - both) * least.numerator)
 
 
 def _link_similar(radius: int, similarity: float):
-    """Rows (shard, node, fp, sketch) in order of shard -> links of a spanning forest in each."""
+    """Rows (shard, node, fp, shingles) in order of shard -> links of a spanning forest in each."""
+    least = Fraction(repr(similarity))
 
-    def solve(nodes: np.ndarray, fps: np.ndarray, sketch: list[np.ndarray]) -> list[tuple[int, int]]:
+    def solve(nodes: np.ndarray, fps: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+        index = SetIndex(sets)
         out, rest = [], np.arange(1, len(nodes))
         start = 0
         while True:
             todo = [start]
             while todo and len(rest):
                 x = todo.pop()
-                hit = np.flatnonzero(_close(fps[rest], fps[x], radius))
-                hit = hit[resemblance(sketch[x], [sketch[i] for i in rest[hit]]) >= similarity]
+                hit = _close(fps[rest], fps[x], radius) & index.alike(x, least)[rest]
                 out += [(int(nodes[x]), int(nodes[i])) for i in rest[hit]]
                 todo.extend(rest[hit].tolist())
-                rest = np.delete(rest, hit)
+                rest = rest[~hit]
             if not len(rest):
                 return out
             start, rest = int(rest[0]), rest[1:]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, nodes, fps, sketch = None, [], [], []
+        shard, nodes, fps, sets = None, [], [], []
         for b in batches:
             found: list[tuple[int, int]] = []
             for k, n, f, s in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
                 if k != shard:
                     if len(nodes) > 1:
-                        found += solve(np.array(nodes), np.array(fps), sketch)
-                    shard, nodes, fps, sketch = k, [], [], []
+                        found += solve(np.array(nodes), np.array(fps), sets)
+                    shard, nodes, fps, sets = k, [], [], []
                 nodes.append(n)
                 fps.append(f)
-                sketch.append(np.frombuffer(s, np.uint32))
+                sets.append(np.frombuffer(s, np.uint64))
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array([u for u, _ in found], pa.int64()), pa.array([v for _, v in found], pa.int64())], ["u", "v"])
-        if len(nodes) > 1 and (found := solve(np.array(nodes), np.array(fps), sketch)):
+        if len(nodes) > 1 and (found := solve(np.array(nodes), np.array(fps), sets)):
             yield pa.RecordBatch.from_arrays([pa.array([u for u, _ in found], pa.int64()), pa.array([v for _, v in found], pa.int64())], ["u", "v"])
 
     return run
@@ -355,11 +362,11 @@ def _link_similar(radius: int, similarity: float):
 def similar_components(rows: DataFrame, similarity: float = SIMILARITY, radius: int = WIDE_RADIUS, shard_bound: int = 5_000) -> DataFrame:
     """sketches() rows, staged -> (node, label): the same label for all nodes that are linked by similarity."""
     n = shuffle_partitions(rows.sparkSession)
-    nodes = rows.select("node", "fp", "shards", "sketch").dropDuplicates(["node"])
+    nodes = rows.select("node", "fp", "shards", "shingles").dropDuplicates(["node"])
     dealt = stage(nodes.select("node", F.explode(F.transform("shards", lambda x, i: F.xxhash64(i, x))).alias("shard")), "simhash-dealt")
     busy = dealt.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("shard")
     dealt = _split_large(stage(dealt.join(busy, "shard", "left_semi"), "simhash-busy"), "node", shard_bound)
-    dealt = dealt.join(nodes.select("node", "fp", "sketch"), "node").select("shard", "node", "fp", "sketch")
+    dealt = dealt.join(nodes.select("node", "fp", "shingles"), "node").select("shard", "node", "fp", "shingles")
     dealt = dealt.repartition(n, "shard").sortWithinPartitions("shard", "node")
     found = components(dealt.mapInArrow(_link_similar(radius, similarity), "u long, v long"))
     all_nodes = rows.select(F.col("node").alias("_n")).distinct()
