@@ -15,8 +15,8 @@ A shard emits a spanning forest of its links, not its pairs. A shard above a siz
 each pair of chunks is one task's work, so no task holds an unbounded shard.
 
 Near-copies in the everyday sense, word-shingle sets alike by 0.8, are farther apart than 4 bits (mostly 6 to 15), where neither blocks nor
-trees over 64 bits are selective. `one_of_each` therefore deals documents to shards by minima of their shingle hashes, takes the
-fingerprints' distance as a sieve inside a shard, and decides by the whole shingle sets.
+trees over 64 bits are selective; and a repeated line moves a fingerprint far without changing the set. `one_of_each` therefore
+leaves fingerprints aside: it deals documents to shards by minima of their shingle hashes and decides by the whole shingle sets.
 
 Defined cases: null and empty texts have fingerprint zero and are linked like any other; null ids never become a
 component's id unless all its ids are null; repeated rows are copies; an empty table gives an empty result; other columns
@@ -42,8 +42,8 @@ from quayside.llm.components import components
 BITS = 64
 SEED = 42
 RADIUS = 4
-#: Near-copies: shingle sets that are alike by 0.8. Their fingerprints differ in up to 17 bits in our tables, so 18 is the first sieve.
-SIMILARITY, WIDE_RADIUS = 0.8, 18
+#: Near-copies: shingle sets that are alike by 0.8.
+SIMILARITY = 0.8
 #: Shards of the wide search: hashes of ROWS minima of the shingles; of two sets alike by 0.8 one in 200 shares none.
 TABLES, ROWS = 10, 4
 _ODD = np.random.default_rng(SEED).integers(1 << 62, 1 << 63, TABLES * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -276,27 +276,25 @@ def _minima(u: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, *keep: str, shingle: int) -> DataFrame:
-    """The columns in keep; fp; node, one for each set of shingles; shards; and shingles, the whole set in order, 8 bytes each."""
+    """The columns in keep; node, one for each set of shingles; shards; and shingles, the whole set in order, 8 bytes each."""
     import xxhash
 
     names = list(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp, node, shards, sets = [], [], [], []
+            node, shards, sets = [], [], []
             for t in b.column(len(names)):
-                h = shingle_hashes(t.as_py() or b"", shingle)
-                u = np.unique(h)
-                fp.append(simhash(h))
+                u = np.unique(shingle_hashes(t.as_py() or b"", shingle))
                 node.append(np.array([xxhash.xxh64_intdigest(u.tobytes())], np.uint64).view(np.int64)[0])
                 shards.append(_minima(u))
                 sets.append(u.tobytes())
             flat = pa.array(np.concatenate(shards) if shards else np.empty(0, np.int64))
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(shards) + 1, dtype=np.int32) * TABLES), flat)
-            yield pa.RecordBatch.from_arrays([*b.columns[: len(names)], pa.array(fp, pa.int64()), pa.array(node, pa.int64()), lists, pa.array(sets, pa.binary())], [*names, "fp", "node", "shards", "shingles"])
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(names)], pa.array(node, pa.int64()), lists, pa.array(sets, pa.binary())], [*names, "node", "shards", "shingles"])
 
     src = docs.select(*names, F.col("text").cast("binary").alias("_bytes"))
-    return src.mapInArrow(run, docs.select(*names).schema.add("fp", "long").add("node", "long").add("shards", T.ArrayType(T.LongType())).add("shingles", "binary"))
+    return src.mapInArrow(run, docs.select(*names).schema.add("node", "long").add("shards", T.ArrayType(T.LongType())).add("shingles", "binary"))
 
 
 class SetIndex:
@@ -319,11 +317,11 @@ class SetIndex:
         return (both > 0) & (both * least.denominator >= (self.size + self.size[i] - both) * least.numerator)
 
 
-def _link_similar(radius: int, similarity: float):
-    """Rows (shard, node, fp, shingles) in order of shard -> links of a spanning forest in each."""
+def _link_similar(similarity: float):
+    """Rows (shard, node, shingles) in order of shard -> links of a spanning forest in each."""
     least = Fraction(repr(similarity))
 
-    def solve(nodes: np.ndarray, fps: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    def solve(nodes: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
         index = SetIndex(sets)
         out, rest = [], np.arange(1, len(nodes))
         start = 0
@@ -331,7 +329,7 @@ def _link_similar(radius: int, similarity: float):
             todo = [start]
             while todo and len(rest):
                 x = todo.pop()
-                hit = _close(fps[rest], fps[x], radius) & index.alike(x, least)[rest]
+                hit = index.alike(x, least)[rest]
                 out += [(int(nodes[x]), int(nodes[i])) for i in rest[hit]]
                 todo.extend(rest[hit].tolist())
                 rest = rest[~hit]
@@ -340,35 +338,34 @@ def _link_similar(radius: int, similarity: float):
             start, rest = int(rest[0]), rest[1:]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, nodes, fps, sets = None, [], [], []
+        shard, nodes, sets = None, [], []
         for b in batches:
             found: list[tuple[int, int]] = []
-            for k, n, f, s in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
+            for k, n, s in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
                 if k != shard:
                     if len(nodes) > 1:
-                        found += solve(np.array(nodes), np.array(fps), sets)
-                    shard, nodes, fps, sets = k, [], [], []
+                        found += solve(np.array(nodes), sets)
+                    shard, nodes, sets = k, [], []
                 nodes.append(n)
-                fps.append(f)
                 sets.append(np.frombuffer(s, np.uint64))
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array([u for u, _ in found], pa.int64()), pa.array([v for _, v in found], pa.int64())], ["u", "v"])
-        if len(nodes) > 1 and (found := solve(np.array(nodes), np.array(fps), sets)):
+        if len(nodes) > 1 and (found := solve(np.array(nodes), sets)):
             yield pa.RecordBatch.from_arrays([pa.array([u for u, _ in found], pa.int64()), pa.array([v for _, v in found], pa.int64())], ["u", "v"])
 
     return run
 
 
-def similar_components(rows: DataFrame, similarity: float = SIMILARITY, radius: int = WIDE_RADIUS, shard_bound: int = 5_000) -> DataFrame:
+def similar_components(rows: DataFrame, similarity: float = SIMILARITY, shard_bound: int = 5_000) -> DataFrame:
     """sketches() rows, staged -> (node, label): the same label for all nodes that are linked by similarity."""
     n = shuffle_partitions(rows.sparkSession)
-    nodes = rows.select("node", "fp", "shards", "shingles").dropDuplicates(["node"])
+    nodes = rows.select("node", "shards", "shingles").dropDuplicates(["node"])
     dealt = stage(nodes.select("node", F.explode(F.transform("shards", lambda x, i: F.xxhash64(i, x))).alias("shard")), "simhash-dealt")
     busy = dealt.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("shard")
     dealt = _split_large(stage(dealt.join(busy, "shard", "left_semi"), "simhash-busy"), "node", shard_bound)
-    dealt = dealt.join(nodes.select("node", "fp", "shingles"), "node").select("shard", "node", "fp", "shingles")
+    dealt = dealt.join(nodes.select("node", "shingles"), "node").select("shard", "node", "shingles")
     dealt = dealt.repartition(n, "shard").sortWithinPartitions("shard", "node")
-    found = components(dealt.mapInArrow(_link_similar(radius, similarity), "u long, v long"))
+    found = components(dealt.mapInArrow(_link_similar(similarity), "u long, v long"))
     all_nodes = rows.select(F.col("node").alias("_n")).distinct()
     return all_nodes.join(found, all_nodes._n == found.node, "left").select(F.col("_n").alias("node"), F.coalesce("label", "_n").alias("label"))
 

@@ -48,3 +48,13 @@ def test_set_index_counts_in_whole_numbers():
     sets = [np.arange(a, b, dtype=np.uint64) for a, b in ((0, 1000), (0, 800), (0, 799), (200, 1000), (5000, 5004), (0, 0))]
     index = simhash.SetIndex(sets)
     assert index.alike(0, Fraction("0.8")).tolist() == [True, True, False, True, False, False]
+
+
+def test_a_repeated_line_parts_no_copies(spark):
+    rng = random.Random(6)
+    texts = []
+    for _ in range(20):
+        base = words(rng, 800)
+        texts += [base, base + words(rng, 10) * 20]
+        assert jaccard(*texts[-2:]) > 0.95
+    assert kept(spark, texts) == set(range(0, 40, 2))
