@@ -16,7 +16,11 @@ each pair of chunks is one task's work, so no task holds an unbounded shard.
 
 Near-copies in the everyday sense, word-shingle sets alike by 0.8, are farther apart than 4 bits (mostly 6 to 15), where neither blocks nor
 trees over 64 bits are selective; and a repeated line moves a fingerprint far without changing the set. `one_of_each` therefore
-leaves fingerprints aside: it deals documents to shards by minima of their shingle hashes and decides by the whole shingle sets.
+leaves fingerprints aside and searches the sets themselves, without loss. Under any order of all shingles, two sets alike by s share
+one of the first n - ceil(s n) + 1 shingles of each, n being its size; with rare shingles first, such heads meet few others. The order
+comes from a count of all shingles, held in two tables of fixed size: whether a shingle may be in a second text, and about how often.
+It is the same for every set, so what the tables mix up costs comparisons, never pairs. A text whose head has only shingles of its
+own is done. Texts whose heads share a shingle are a shard, equal shards are one, and whole shingle sets decide in it.
 
 Defined cases: null and empty texts have fingerprint zero and are linked like any other; null ids never become a
 component's id unless all its ids are null; repeated rows are copies; an empty table gives an empty result; other columns
@@ -34,7 +38,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quayside.llm.common import shuffle_partitions, stage
 from quayside.llm.components import components
@@ -44,9 +47,9 @@ SEED = 42
 RADIUS = 4
 #: Near-copies: shingle sets that are alike by 0.8.
 SIMILARITY = 0.8
-#: Shards of the wide search: hashes of ROWS minima of the shingles; of two sets alike by 0.8 one in 200 shares none.
-TABLES, ROWS = 10, 4
-_ODD = np.random.default_rng(SEED).integers(1 << 62, 1 << 63, TABLES * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Shingles are counted by the first 40 bits of their hashes, in 2^8 buckets, into 2^28 bits and 2^22 bytes.
+BUCKET_BITS, SHARED_BITS, OFTEN_BITS, OFTEN = 8, 28, 22, 4
+PACKED = 1_000_000
 LEAF = 64
 SHARD_BOUND = 50_000
 
@@ -261,40 +264,129 @@ def simhash_query(docs: DataFrame, shingle: int = 4, radius: int = RADIUS) -> Da
     return rows.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def _minima(u: np.ndarray) -> np.ndarray:
-    """TABLES hashes, each of ROWS minima of the distinct shingles u under functions of its own."""
-    if not len(u):
-        return np.zeros(TABLES, np.int64)
-    low = np.full(TABLES * ROWS, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(u), 4096):
-        x = u[at : at + 4096, None] * _ODD[None, :]
-        low = np.minimum(low, (x ^ (x >> np.uint64(29))).min(0))
-    out = np.zeros(TABLES, np.uint64)
-    for r in range(ROWS):
-        out = (out ^ low[r * TABLES : (r + 1) * TABLES]) * np.uint64(0xBF58476D1CE4E5B9)
-    return out.view(np.int64)
+def _node(shingles: bytes) -> int:
+    import xxhash
 
+    return int(np.array([xxhash.xxh64_intdigest(shingles)], np.uint64).view(np.int64)[0])
+
+
+def _sets(b: pa.RecordBatch, shingle: int) -> Iterator[tuple[int, bytes]]:
+    """Node and shingle set of each row, from columns node and shingles, or from the text in _bytes."""
+    if "_bytes" in b.schema.names:
+        for t in b.column("_bytes"):
+            u = np.unique(shingle_hashes(t.as_py() or b"", shingle)).tobytes()
+            yield _node(u), u
+    else:
+        for k, x in zip(b.column("node"), b.column("shingles"), strict=True):
+            yield k.as_py(), x.as_py()
 
-def sketches(docs: DataFrame, *keep: str, shingle: int) -> DataFrame:
-    """The columns in keep; node, one for each set of shingles; shards; and shingles, the whole set in order, 8 bytes each."""
-    import xxhash
 
+def sketches(docs: DataFrame, *keep: str, shingle: int, whole: bool = True) -> DataFrame:
+    """The columns in keep; node, one for each set of shingles; and, if whole, shingles, the set in order, 8 bytes each."""
     names = list(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            node, shards, sets = [], [], []
-            for t in b.column(len(names)):
-                u = np.unique(shingle_hashes(t.as_py() or b"", shingle))
-                node.append(np.array([xxhash.xxh64_intdigest(u.tobytes())], np.uint64).view(np.int64)[0])
-                shards.append(_minima(u))
-                sets.append(u.tobytes())
-            flat = pa.array(np.concatenate(shards) if shards else np.empty(0, np.int64))
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(shards) + 1, dtype=np.int32) * TABLES), flat)
-            yield pa.RecordBatch.from_arrays([*b.columns[: len(names)], pa.array(node, pa.int64()), lists, pa.array(sets, pa.binary())], [*names, "node", "shards", "shingles"])
+            node, sets = [], []
+            for k, u in _sets(b, shingle):
+                node.append(k)
+                if whole:
+                    sets.append(u)
+            more = {"node": pa.array(node, pa.int64())} | ({"shingles": pa.array(sets, pa.binary())} if whole else {})
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(names)], *more.values()], [*names, *more])
 
     src = docs.select(*names, F.col("text").cast("binary").alias("_bytes"))
-    return src.mapInArrow(run, docs.select(*names).schema.add("node", "long").add("shards", T.ArrayType(T.LongType())).add("shingles", "binary"))
+    schema = docs.select(*names).schema.add("node", "long")
+    return src.mapInArrow(run, schema.add("shingles", "binary") if whole else schema)
+
+
+def _pack(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
+    """Rows of _sets() -> for each bucket the next 32 bits of its hashes, once for each text, in order."""
+    held: list[np.ndarray] = []
+    seen: set[int] = set()
+
+    def out() -> pa.RecordBatch:
+        h = np.sort(np.concatenate(held))
+        edges = np.searchsorted(h >> np.uint64(64 - BUCKET_BITS), np.arange((1 << BUCKET_BITS) + 1, dtype=np.uint64))
+        low = (h >> np.uint64(32 - BUCKET_BITS)).astype(np.uint32)
+        full = np.flatnonzero(np.diff(edges))
+        held.clear()
+        seen.clear()
+        return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array([low[edges[i] : edges[i + 1]].tobytes() for i in full], pa.binary())], ["bucket", "hashes"])
+
+    n = 0
+    for b in batches:
+        for node, x in _sets(b, shingle):
+            if node not in seen and (u := np.frombuffer(x, np.uint64)).size:
+                seen.add(node)
+                held.append(u)
+                n += len(u)
+            if n > PACKED:
+                yield out()
+                n = 0
+    if held:
+        yield out()
+
+
+def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """_pack() rows in order of bucket -> each bucket's part of the two tables."""
+
+    def solve(bucket: int, parts: list[bytes]) -> pa.RecordBatch:
+        x = np.sort(np.frombuffer(b"".join(parts), np.uint32))
+        first = np.flatnonzero(np.r_[True, x[1:] != x[:-1]])
+        times = np.diff(np.r_[first, len(x)])
+        x = x[first]
+        shared = np.zeros(1 << (SHARED_BITS - BUCKET_BITS), bool)
+        shared[x[times > 1] >> np.uint32(32 + BUCKET_BITS - SHARED_BITS)] = True
+        often = np.zeros(1 << (OFTEN_BITS - BUCKET_BITS), np.uint8)
+        on = times >= OFTEN
+        np.maximum.at(often, x[on] >> np.uint32(32 + BUCKET_BITS - OFTEN_BITS), np.frexp(times[on])[1].astype(np.uint8))
+        return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([np.packbits(shared, bitorder="little").tobytes()], pa.binary()), pa.array([often.tobytes()], pa.binary())], ["bucket", "shared", "often"])
+
+    bucket, parts = None, []
+    for b in batches:
+        for k, x in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+            if k != bucket:
+                if parts:
+                    yield solve(bucket, parts)
+                bucket, parts = k, []
+            parts.append(x.as_py())
+    if parts:
+        yield solve(bucket, parts)
+
+
+def _heads(rows: DataFrame, least: Fraction, shingle: int) -> DataFrame:
+    """(node, head, shingles) of rows that may have a near-copy; head: the first shingles of the common order that may be shared."""
+    spark = rows.sparkSession
+    # From texts: hashed in each pass, as the sets are larger, and one Python worker a task is enough.
+    rows = rows.select("node", "shingles") if "shingles" in rows.columns else rows.select(F.col("text").cast("binary").alias("_bytes"))
+    packed = rows.mapInArrow(lambda batches: _pack(batches, shingle), "bucket int, hashes binary")
+    packed = packed.repartition(shuffle_partitions(spark), "bucket").sortWithinPartitions("bucket")
+    shared, often = np.zeros(1 << (SHARED_BITS - 3), np.uint8), np.zeros(1 << OFTEN_BITS, np.uint8)
+    for r in packed.mapInArrow(_tally, "bucket int, shared binary, often binary").collect():  # 37 MB, whatever the table
+        for table, part in ((shared, r["shared"]), (often, r["often"])):
+            table[r["bucket"] * len(part) : (r["bucket"] + 1) * len(part)] = np.frombuffer(bytes(part), np.uint8)
+    sent = spark.sparkContext.broadcast((shared, often))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, classes = sent.value
+        for b in batches:
+            node, head, sets = [], [], []
+            for k, x in _sets(b, shingle):
+                u = np.frombuffer(x, np.uint64)
+                at = u >> np.uint64(64 - SHARED_BITS)
+                mine = u[bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1 > 0]
+                # A near-copy shares `must` shingles or more; those of this text alone come first in the order.
+                must = -(-len(u) * least.numerator // least.denominator)
+                if len(mine) < max(1, must):
+                    continue
+                order = np.lexsort((mine, classes[mine >> np.uint64(64 - OFTEN_BITS)]))
+                node.append(k)
+                head.append(mine[order[: len(mine) - max(1, must) + 1]].view(np.int64))
+                sets.append(x)
+            yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(head, pa.list_(pa.int64())), pa.array(sets, pa.binary())], ["node", "head", "shingles"])
+
+    return stage(rows.mapInArrow(run, "node long, head array<long>, shingles binary"), "simhash-heads")
 
 
 class SetIndex:
@@ -356,17 +448,20 @@ def _link_similar(similarity: float):
     return run
 
 
-def similar_components(rows: DataFrame, similarity: float = SIMILARITY, shard_bound: int = 5_000) -> DataFrame:
-    """sketches() rows, staged -> (node, label): the same label for all nodes that are linked by similarity."""
+def similar_components(rows: DataFrame, similarity: float = SIMILARITY, shard_bound: int = 5_000, nodes: DataFrame | None = None, shingle: int = 5) -> DataFrame:
+    """sketches() rows -> (node, label): the same label for all nodes that are linked by similarity. With nodes, staged, rows may be texts."""
     n = shuffle_partitions(rows.sparkSession)
-    nodes = rows.select("node", "shards", "shingles").dropDuplicates(["node"])
-    dealt = stage(nodes.select("node", F.explode(F.transform("shards", lambda x, i: F.xxhash64(i, x))).alias("shard")), "simhash-dealt")
-    busy = dealt.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("shard")
-    dealt = _split_large(stage(dealt.join(busy, "shard", "left_semi"), "simhash-busy"), "node", shard_bound)
-    dealt = dealt.join(nodes.select("node", "shingles"), "node").select("shard", "node", "shingles")
+    heads = _heads(rows, Fraction(repr(similarity)), shingle)
+    held = stage(heads.select("node", F.explode("head").alias("word")).distinct(), "simhash-held")
+    # Shingles held by the same nodes make the same shard.
+    own = F.xxhash64("node")
+    who = held.groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(own).alias("x"), F.min(own).alias("m")).where("n > 1")
+    dealt = held.join(who, "word").select("node", F.xxhash64("n", "x", "m").alias("shard")).distinct()
+    dealt = _split_large(stage(dealt, "simhash-dealt"), "node", shard_bound)
+    dealt = dealt.join(heads.select("node", "shingles").dropDuplicates(["node"]), "node").select("shard", "node", "shingles")
     dealt = dealt.repartition(n, "shard").sortWithinPartitions("shard", "node")
     found = components(dealt.mapInArrow(_link_similar(similarity), "u long, v long"))
-    all_nodes = rows.select(F.col("node").alias("_n")).distinct()
+    all_nodes = (rows if nodes is None else nodes).select(F.col("node").alias("_n")).distinct()
     return all_nodes.join(found, all_nodes._n == found.node, "left").select(F.col("_n").alias("node"), F.coalesce("label", "_n").alias("label"))
 
 
@@ -376,10 +471,10 @@ def one_of_each(docs: DataFrame, shingle: int = 5, similarity: float = SIMILARIT
     Two texts are near-copies if their sets of word shingles are alike by `similarity` or more; groups are what such links connect."""
     own = docs.columns
     keyed = docs.withColumn("_th", F.xxhash64("text"))
-    rows = stage(sketches(keyed, "doc_id", "_th", shingle=shingle), "simhash-sketches")
+    rows = stage(sketches(keyed, "doc_id", "_th", shingle=shingle, whole=False), "simhash-nodes")
     key = F.struct(F.col("doc_id").isNull().alias("null_last"), "doc_id", "_th")
     per_node = rows.groupBy("node").agg(F.min(key).alias("k"))
-    stay = similar_components(rows, similarity).join(per_node, "node").groupBy("label").agg(F.min("k").alias("k")).select(F.col("k.doc_id").alias("_id"), F.col("k._th").alias("_t"))
+    stay = similar_components(docs.select("text"), similarity, nodes=rows, shingle=shingle).join(per_node, "node").groupBy("label").agg(F.min("k").alias("k")).select(F.col("k.doc_id").alias("_id"), F.col("k._th").alias("_t"))
     d = keyed.join(stay, keyed.doc_id.eqNullSafe(stay._id) & (keyed._th == stay._t), "left_semi")
     repeated = rows.groupBy("doc_id", "_th").count().where("count > 1")
     if not repeated.isEmpty():
