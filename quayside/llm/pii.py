@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -97,20 +98,14 @@ def term(word: str) -> str | None:
 def beside(t: str, spans: list[tuple[str, int, int]], window: int) -> list[tuple[str, list[tuple[str, int, int]]]]:
     """For each base span its protected value (kind and text) and the terms within window words on either side."""
     taken = sorted((a, b) for _, a, b in spans)
+    words = [m.span() for m in _WORD.finditer(t)]
+    starts, ends = [x for x, _ in words], [y for _, y in words]
     out = []
     for kind, a, b in spans:
-        back, at = [], max(0, a - 64 * window)
-        for m in _WORD.finditer(t, at, a):
-            if m.start() > at or at == 0 or t[at - 1] in " \t\n\v\f\r":
-                back.append((m.group(), m.start(), m.end()))
-        ahead = []
-        for m in _WORD.finditer(t, b, min(len(t), b + 64 * window)):
-            ahead.append((m.group(), m.start(), m.end()))
-            if len(ahead) == window:
-                break
+        i, j = bisect_left(starts, a), bisect_right(ends, b)
         found = []
-        for w, x, y in back[-window:] + ahead:
-            if (k := term(w)) and not any(p < y and x < q for p, q in taken):
+        for x, y in [(x, min(y, a)) for x, y in words[max(0, i - window) : i]] + [(max(x, b), y) for x, y in words[j : j + window]]:
+            if not any(p < y and x < q for p, q in taken) and (k := term(t[x:y])):
                 found.append((k, x, y))
         value = t[a:b].lower() if kind == "email" else t[a:b] if kind == "ip" else _digits(t[a:b])
         out.append((f"{kind}:{value}", found))
