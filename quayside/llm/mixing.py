@@ -1,20 +1,21 @@
 """Mixing sources to target weights by Pareto order sampling.
 
 Each source gets a target in words from its weight; targets above `max_repeats` times the source are cut there and the excess
-goes to the others by weight. With r = target / source size, every document of the source is taken floor(r) times for certain,
-and the fraction left, p = r - floor(r), is its inclusion probability for one more copy. Documents are ranked by
-    (u / (1 - u)) / (p / (1 - p)),   u uniform from a hash of the id and the seed,
-and those of smallest rank are taken until the fraction's words are used up: a Pareto sample of fixed size, counted in words.
-What the document at the cut would overshoot is filled in three more rounds, each in order of rank among those that still fit;
-so the words taken never exceed the target, and miss it by less than the smallest document that the rounds passed over.
-
-No source is gathered in one task: u is cut into equal bins, bins are summed by one small aggregate, and only the bin that
-holds a source's cut is ordered.
+goes to the others by weight. With r = target / source size, every document of the source is taken floor(r) times for certain.
+The words still wanted are a sample of fixed size, measured in words, with unequal probabilities by size:
+    p = min(1, size / T),   T so that the source's sum of p * size is what is wanted.
+Documents of T words or more are taken for certain; so only smaller ones are left to chance, and the sample's words vary little.
+Those are ranked by (u / (1 - u)) / (p / (1 - p)), u uniform from a hash of the id, the text and the seed, and taken by ascending rank
+until the wanted words are reached; the document at the cut is taken if that comes nearer. So a source misses its target by at
+most half a document of under T words. Nothing is filled up afterwards, so the rank alone decides.
+
+No source is gathered in one task: T comes from a histogram of sizes, ranks are cut into equal bins, bins are summed by one
+small aggregate, and only the bin that holds a source's cut is ordered. Pareto ranks gather about 1 at the cut; their odds
+q / (1 + q), in which the bins are equal, spread evenly.
 
 Defined cases: a null text has no words; a source of size 0 has target 0 and takes nothing; a null source is a source of its own, last
-in order; rows equal in id and text
-share a rank and are taken together; an empty table gives an empty result; other columns are ignored (mix_documents keeps
-them, whatever their names).
+in order; a document without words gets the whole copies only; rows equal in id and text share a rank and are taken together; an
+empty table gives an empty result; other columns are ignored (mix_documents keeps them, whatever their names).
 """
 
 from __future__ import annotations
@@ -28,8 +29,6 @@ WEIGHTS = (1, 2, 3)
 MAX_REPEATS = 3
 BINS = 4096
 SEED = "mix-1"
-#: The first round takes documents in order of rank; the later ones fill the gap with what still fits.
-ROUNDS = 4
 _UNIT = 1 << 52
 
 
@@ -70,9 +69,11 @@ def _keyed(docs: DataFrame, seed: str) -> DataFrame:
 
 
 def _rank() -> Column:
-    """The Pareto rank: the odds of u over the odds of inclusion; null where nothing is left to chance."""
+    """The odds q / (1 + q) of the Pareto rank q of a document under the source's bound T (column level); null where nothing is left to chance."""
     u = (F.col("_bits") + F.lit(0.5)) / F.lit(float(_UNIT))
-    return F.when((F.col("p") > 0) & (F.col("p") < 1), (u / (1 - u)) / (F.col("p") / (1 - F.col("p"))))
+    size = F.col("_size").cast("double")
+    up, down = u * (F.col("level") - size), (1 - u) * size
+    return F.when((size > 0) & (size < F.col("level")), up / (up + down))
 
 
 def _on_source(d: DataFrame, goals: DataFrame) -> DataFrame:
@@ -81,74 +82,79 @@ def _on_source(d: DataFrame, goals: DataFrame) -> DataFrame:
     return d.join(g, d.source.eqNullSafe(g.g_source), "inner").drop("g_source")
 
 
-def _round(rows: DataFrame, goals: DataFrame, k: int) -> DataFrame:
-    """goals with the limits of round k, most_k (largest size) and upto_k (largest rank), and what is left after it.
-
-    rows: source, _size, _bits. Bins of u are summed first; only each source's bin that holds the cut is ordered."""
-    open_rows = _on_source(rows, goals).withColumn("_rank", _rank()).where(F.col("_rank").isNotNull() & (F.col("_size") <= F.col("left")) & ~_taken(k))
-    open_rows = open_rows.withColumn("_bin", F.expr(f"cast(_bits div {_UNIT // BINS} as int)"))
-    bins = open_rows.groupBy("source", "_bin", "left").agg(F.sum("_size").alias("bin_size"))
+def _levels(rows: DataFrame, goals: DataFrame) -> DataFrame:
+    """goals (source, source_size, left) with level, the bound T, and chance, the words wanted of documents under it.
+
+    For sizes s in order the words of a sample with T = s are a falling step sum; T lies between the neighbours that enclose `left`."""
+    hist = rows.where(F.col("_size") > 0).groupBy("source", "_size").agg(F.count(F.lit(1)).alias("n"))
+    hist = _on_source(hist, goals.select("source", "source_size", "left")).where(F.col("left") > 0)
+    before = Window.partitionBy("source").orderBy("_size").rowsBetween(Window.unboundedPreceding, -1)
+    square = (F.col("n") * F.col("_size")).cast("decimal(38,0)") * F.col("_size").cast("decimal(19,0)")
+    hist = hist.select(
+        "source", "left", "_size", square.cast("decimal(38,0)").alias("square"),
+        (F.col("source_size") - F.coalesce(F.sum(F.col("n") * F.col("_size")).over(before), F.lit(0))).alias("sure"),
+    )
+    hist = hist.withColumn("squares", F.coalesce(F.sum("square").over(before), F.lit(0)).cast("double"))
+    sure = F.col("sure").cast("double")
+    on = (F.col("squares") / F.col("_size") + sure) <= F.col("left")
+    # The first size that holds: T = squares / (left - sure); if none holds, all documents are left to chance.
+    first = hist.where(on).groupBy("source").agg(F.min_by(F.struct("squares", sure.alias("sure")), "_size").alias("at"))
+    every = hist.groupBy("source").agg(F.sum("square").cast("double").alias("all_squares"))
+    found = every.alias("e").join(first.alias("f"), F.col("e.source").eqNullSafe(F.col("f.source")), "left").select("e.source", "all_squares", "at")
+    g = goals.alias("g").join(found.alias("t"), F.col("g.source").eqNullSafe(F.col("t.source")), "left").select("g.*", "all_squares", "at")
+    g = g.withColumn("chance", F.when(F.col("all_squares").isNotNull(), F.col("left") - F.coalesce(F.col("at.sure"), F.lit(0.0))))
+    return g.withColumn("level", F.coalesce(F.col("at.squares"), F.col("all_squares")) / F.col("chance")).drop("all_squares", "at")
+
+
+def _cuts(rows: DataFrame, goals: DataFrame) -> DataFrame:
+    """goals with upto, the largest rank that is taken. Bins of the rank are summed first; only the bin that holds the cut is ordered."""
+    ranked = _on_source(rows.select("source", "_size", "_bits"), goals.select("source", "level", "chance")).withColumn("_rank", _rank()).where(F.col("_rank").isNotNull())
+    ranked = ranked.select("source", "_size", "_rank", "chance", F.least(F.lit(BINS - 1), F.floor(F.col("_rank") * BINS)).cast("int").alias("_bin"))
+    bins = ranked.groupBy("source", "_bin", "chance").agg(F.sum("_size").alias("bin_size"), F.max("_rank").alias("bin_rank"))
     upto = Window.partitionBy("source").orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     bins = bins.withColumn("bin_upto", F.sum("bin_size").over(upto))
-    over = bins.where(F.col("bin_upto") > F.col("left")).groupBy("source").agg(F.min("_bin").alias("cut_bin"))
-    under = bins.where(F.col("bin_upto") <= F.col("left")).groupBy("source").agg(F.max("bin_upto").alias("before"))
-    cut = over.alias("o").join(under.alias("n"), F.col("o.source").eqNullSafe(F.col("n.source")), "full")
-    cut = stage(cut.select(F.coalesce("o.source", "n.source").alias("source"), F.coalesce("cut_bin", F.lit(BINS)).alias("cut_bin"), F.coalesce("before", F.lit(0)).alias("before")), "mix-cut")
-    at = _on_source(open_rows.select("source", "_size", "_rank", "_bin", "left"), cut).where(F.col("_bin") <= F.col("cut_bin"))
-    inside = Window.partitionBy("source", "_bin").orderBy("_rank").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = at.where(F.col("_bin") < F.col("cut_bin")).groupBy("source").agg(F.max("_rank").alias("upto"), F.sum("_size").alias("taken"))
-    part = at.where(F.col("_bin") == F.col("cut_bin")).withColumn("_upto", F.col("before") + F.sum("_size").over(inside)).where(F.col("_upto") <= F.col("left"))
-    part = part.groupBy("source").agg(F.max("_rank").alias("upto"), F.sum("_size").alias("taken"))
-    got = whole.unionByName(part).groupBy("source").agg(F.max("upto").alias(f"upto_{k}"), F.sum("taken").alias("taken"))
-    joined = goals.alias("g").join(got.alias("t"), F.col("g.source").eqNullSafe(F.col("t.source")), "left")
-    keep = [F.col(f"g.{c}") for c in goals.columns if c != "left"]
-    return joined.select(*keep, F.col("left").alias(f"most_{k}"), F.col(f"upto_{k}"), (F.col("left") - F.coalesce("taken", F.lit(0))).alias("left"))
-
-
-def _taken(rounds: int) -> Column:
-    """Whether a row gets the copy that is left to chance, from the limits of the first rounds."""
-    hit = F.lit(False)
-    for i in range(rounds):
-        hit = hit | F.coalesce((F.col("_size") <= F.col(f"most_{i}")) & (F.col("_rank") <= F.col(f"upto_{i}")), F.lit(False))
-    return hit
-
-
-def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS, seed: str = SEED, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
-    """(rows, goals): each document's source, size and hash, and each source's target, whole copies and rank limits."""
+    under = bins.where(F.col("bin_upto") <= F.col("chance")).groupBy("source").agg(F.max("bin_rank").alias("whole"))
+    over = bins.where(F.col("bin_upto") > F.col("chance")).groupBy("source").agg(F.min(F.struct("_bin", (F.col("bin_upto") - F.col("bin_size")).alias("before"))).alias("cut"))
+    cut = over.select("source", F.col("cut._bin").alias("cut_bin"), F.col("cut.before").alias("before"))
+    at = _on_source(ranked, cut).where(F.col("_bin") == F.col("cut_bin"))
+    inside = Window.partitionBy("source").orderBy("_rank").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    at = at.withColumn("after", F.col("before") + F.sum("_size").over(inside)).groupBy("source", "_rank", "after", "chance").agg(F.sum("_size").alias("own"))
+    part = at.where((F.col("after") - F.col("own") < F.col("chance")) & (F.col("after") - F.col("chance") < F.col("chance") - (F.col("after") - F.col("own"))))
+    got = part.groupBy("source").agg(F.max("_rank").alias("upto")).unionByName(under.select("source", F.col("whole").alias("upto"))).groupBy("source").agg(F.max("upto").alias("upto"))
+    return goals.alias("g").join(got.alias("t"), F.col("g.source").eqNullSafe(F.col("t.source")), "left").select("g.*", "upto")
+
+
+def _copies(max_repeats: int) -> Column:
+    """The whole copies, one more for documents of the bound or more and for those whose rank is up to the cut."""
+    more = (F.col("_size") >= F.col("level")) | (_rank() <= F.col("upto"))
+    return F.least(F.col("whole") + F.when(F.coalesce(more, F.lit(False)), 1).otherwise(0), F.lit(max_repeats)).cast("int")
+
+
+def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS, seed: str = SEED) -> tuple[DataFrame, DataFrame]:
+    """(rows, goals): each document's source, size and hash, and each source's target, whole copies, bound and cut."""
     rows = stage(_keyed(docs.select("doc_id", "source", "text"), seed).select("doc_id", "source", "_size", "_bits"), "mix-rows")
     sizes = rows.groupBy("source").agg(F.sum("_size").alias("source_size"))
     g = source_targets(sizes, weights, max_repeats)
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     g = g.withColumn("whole", F.least(F.floor(ratio).cast("long"), F.lit(max_repeats)))
     g = g.withColumn("left", F.greatest(F.lit(0.0), F.col("target") - F.col("whole") * F.col("source_size")))
-    g = g.withColumn("p", F.when(F.col("source_size") > 0, F.col("left") / F.col("source_size")).otherwise(F.lit(0.0)))
-    g = stage(g, "mix-goals")
-    for k in range(rounds):
-        g = stage(_round(rows, g, k), f"mix-goals-{k}")
-    return rows, g
-
-
-def _copies(d: DataFrame, goals: DataFrame, rounds: int, max_repeats: int) -> DataFrame:
-    d = _on_source(d, goals).withColumn("_rank", _rank())
-    extra = F.when(_taken(rounds), F.lit(1)).otherwise(F.lit(0))
-    return d.withColumn("_copies", F.least(F.col("whole") + extra, F.lit(max_repeats)).cast("int"))
+    g = stage(_levels(rows, stage(g, "mix-goals")), "mix-levels")
+    return rows, stage(_cuts(rows, g), "mix-cuts")
 
 
-def mix_ledger(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS, seed: str = SEED, rounds: int = ROUNDS) -> DataFrame:
-    """doc_id, size, source_size, target, taken; and source, copies."""
-    rows, goals = plan(docs, weights, max_repeats, seed, rounds)
-    d = _copies(rows, goals, rounds, max_repeats)
-    return d.select("doc_id", F.col("_size").alias("size"), "source_size", "target", (F.col("_copies") * F.col("_size")).alias("taken"), "source", F.col("_copies").alias("copies"))
+def mix_ledger(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS, seed: str = SEED) -> DataFrame:
+    """doc_id, size, source_size, target, taken; and source, copies, inclusion (the probability of the copy left to chance)."""
+    rows, goals = plan(docs, weights, max_repeats, seed)
+    d = _on_source(rows, goals).withColumn("_copies", _copies(max_repeats))
+    inclusion = F.coalesce(F.least(F.lit(1.0), F.col("_size") / F.col("level")), F.lit(0.0))
+    return d.select("doc_id", F.col("_size").alias("size"), "source_size", "target", (F.col("_copies") * F.col("_size")).alias("taken"), "source", F.col("_copies").alias("copies"), inclusion.alias("inclusion"))
 
 
-def mix_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS, seed: str = SEED, rounds: int = ROUNDS) -> DataFrame:
+def mix_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS, seed: str = SEED) -> DataFrame:
     """The mix itself: each document as often as it is taken, with the columns of docs. No text is shuffled."""
-    _, goals = plan(docs, weights, max_repeats, seed, rounds)
-    limits = goals.select("source", "p", "whole", *[f"{c}_{k}" for k in range(rounds) for c in ("most", "upto")])
-    limits = limits.withColumnsRenamed({c: f"_g_{c}" for c in limits.columns if c != "source"})
+    _, goals = plan(docs, weights, max_repeats, seed)
     own = [F.col(c).alias(f"_d_{i}") for i, c in enumerate(docs.columns)]
     d = _keyed(docs.select("doc_id", "source", "text", *own), seed).drop("doc_id", "text")
-    d = _on_source(d, limits).withColumnsRenamed({c: c[3:] for c in limits.columns if c != "source"})
-    d = d.withColumn("_rank", _rank()).withColumn("_copies", F.least(F.col("whole") + F.when(_taken(rounds), F.lit(1)).otherwise(F.lit(0)), F.lit(max_repeats)).cast("int"))
+    d = _on_source(d, goals.select("source", "whole", "level", "upto")).withColumn("_copies", _copies(max_repeats))
     d = d.where("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
     return d.select(*[F.col(f"_d_{i}").alias(c) for i, c in enumerate(docs.columns)])

@@ -34,22 +34,6 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail
 """
 
 
-def _mix_rounds(rounds: int) -> tuple[str, str]:
-    out = []
-    taken = "false"
-    for k in range(rounds):
-        src, dst = (f"g{k}", f"g{k + 1}")
-        out.append(
-            f"""x{k} AS (SELECT r.source, r.size, q, sum(r.size) OVER (PARTITION BY r.source ORDER BY q RANGE UNBOUNDED PRECEDING) AS upto, g.rest FROM (SELECT rw.*, (rw.u / (1 - rw.u)) / (gg.p / (1 - gg.p)) AS q, {taken} AS done, gg.rest AS lim FROM rw JOIN {src} gg ON rw.source IS NOT DISTINCT FROM gg.source WHERE gg.p > 0 AND gg.p < 1) r JOIN {src} g ON r.source IS NOT DISTINCT FROM g.source WHERE NOT r.done AND r.size <= g.rest),
-t{k} AS (SELECT source, max(q) AS q, sum(size) AS got FROM x{k} WHERE upto <= rest GROUP BY source),
-{dst} AS (SELECT g.* EXCLUDE (rest), g.rest AS most_{k}, t.q AS upto_{k}, g.rest - coalesce(t.got, 0) AS rest FROM {src} g LEFT JOIN t{k} t ON g.source IS NOT DISTINCT FROM t.source)"""
-        )
-        hit = f"coalesce(rw.size <= gg.most_{k} AND (rw.u / (1 - rw.u)) / (gg.p / (1 - gg.p)) <= gg.upto_{k}, false)"
-        taken = hit if taken == "false" else f"{taken} OR {hit}"
-    return ",\n".join(out), taken
-
-
-_ROUNDS, _TAKEN = _mix_rounds(4)
 MIXING = rf"""
 WITH rw AS (SELECT doc_id, source, len({_WORDS}) AS size, (('0x' || substr(md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), chr(0)) || ':' || md5(coalesce(text, chr(0)))), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS u FROM documents),
 src AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM rw GROUP BY source),
@@ -59,10 +43,17 @@ lm AS (SELECT *, max(CASE WHEN lvl * weight < cap THEN lvl END) OVER () AS level
 tg AS (SELECT source, source_size, CASE WHEN level * weight < cap THEN level * weight ELSE CAST(cap AS DOUBLE) END AS target FROM lm),
 wh AS (SELECT *, CASE WHEN source_size > 0 THEN least(3, CAST(floor(target / source_size) AS BIGINT)) ELSE 0 END AS whole FROM tg),
 re AS (SELECT *, greatest(0, target - whole * source_size) AS rest FROM wh),
-g0 AS (SELECT *, CASE WHEN source_size > 0 THEN rest / source_size ELSE 0 END AS p FROM re),
-{_ROUNDS}
-SELECT rw.doc_id, rw.size, gg.source_size, gg.target, rw.size * least(3, gg.whole + CASE WHEN gg.p > 0 AND gg.p < 1 AND ({_TAKEN}) THEN 1 ELSE 0 END) AS taken, rw.source, CAST(least(3, gg.whole + CASE WHEN gg.p > 0 AND gg.p < 1 AND ({_TAKEN}) THEN 1 ELSE 0 END) AS INTEGER) AS copies
-FROM rw JOIN g4 gg ON rw.source IS NOT DISTINCT FROM gg.source
+hs AS (SELECT rw.source, re.source_size, re.rest, rw.size, CAST(sum(rw.size) AS HUGEINT) AS words FROM rw JOIN re ON rw.source IS NOT DISTINCT FROM re.source WHERE rw.size > 0 AND re.rest > 0 GROUP BY ALL),
+hc AS (SELECT source, rest, size, words, CAST(source_size - coalesce(sum(words) OVER w, 0) AS DOUBLE) AS sure, CAST(coalesce(sum(words * size) OVER w, 0) AS DOUBLE) AS squares FROM hs WINDOW w AS (PARTITION BY source ORDER BY size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+ft AS (SELECT source, arg_min(sure, size) AS sure, arg_min(squares, size) AS squares FROM hc WHERE squares / size + sure <= rest GROUP BY source),
+al AS (SELECT source, CAST(sum(words * size) AS DOUBLE) AS squares FROM hs GROUP BY source),
+gl AS (SELECT re.*, CASE WHEN al.squares IS NOT NULL THEN re.rest - coalesce(ft.sure, 0) END AS chance, coalesce(ft.squares, al.squares) AS squares FROM re LEFT JOIN al ON re.source IS NOT DISTINCT FROM al.source LEFT JOIN ft ON re.source IS NOT DISTINCT FROM ft.source),
+gt AS (SELECT *, squares / chance AS level FROM gl),
+rk AS (SELECT rw.*, gt.source_size, gt.target, gt.whole, gt.chance, gt.level, CASE WHEN rw.size > 0 AND rw.size < gt.level THEN (rw.u * (gt.level - rw.size)) / (rw.u * (gt.level - rw.size) + (1 - rw.u) * rw.size) END AS q FROM rw JOIN gt ON rw.source IS NOT DISTINCT FROM gt.source),
+cu AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY q RANGE UNBOUNDED PRECEDING) AS upto, sum(size) OVER (PARTITION BY source, q) AS own FROM rk WHERE q IS NOT NULL),
+ct AS (SELECT source, max(q) AS cut FROM cu WHERE upto <= chance OR (upto - own < chance AND upto - chance < chance - (upto - own)) GROUP BY source),
+cp AS (SELECT rk.*, CAST(least(3, whole + CASE WHEN size >= level OR q <= cut THEN 1 ELSE 0 END) AS INTEGER) AS copies FROM rk LEFT JOIN ct ON rk.source IS NOT DISTINCT FROM ct.source)
+SELECT doc_id, size, source_size, target, size * copies AS taken, source, copies, coalesce(least(1.0::DOUBLE, size / level), 0) AS inclusion FROM cp
 """
 
 SQL = {"op2_sharding": SHARDING, "op8_quality_rules": QUALITY, "op9_mixing": MIXING}
