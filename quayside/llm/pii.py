@@ -1,14 +1,17 @@
 """Personal data: fixed patterns, and terms that give protected values away by what the corpus says about them.
 
 The base finds e-mail addresses, IP addresses, card and phone numbers. The rest is information-theoretic: a protected value
-e has information IC(e) = log(N / n_e) over the N documents; a term t beside it discloses
-PMI(e; t) = log(N n_et / (n_e n_t)), n_et counting documents in which t stands within `window` words of e. A term whose share
-PMI / IC reaches `generalise` is replaced by its class; from `remove` on, it nearly determines the value and is taken out. n_t
-is counted over all documents; pairs need `support` documents, as fewer say nothing.
-
-One pass finds values and the terms beside them, kept on each document's row in a narrow staged table; the second pass counts the
-candidate terms in whole texts. A fixed-size bit table (4 MB at most) tells a task which words may be candidates; what
-passes it by chance is dropped by the exact join after. No text is shuffled by the query; sanitising joins spans back on a row key.
+e has information IC(e) = log(N / n_e) over the N documents. A term t, wherever it stands, discloses
+PMI(e; t) = log(P(e | t) N / n_e), with P(e | t) from n_et of n_t documents: whole documents that hold both, and that hold t.
+A few documents may agree by chance, so the lower end of P's 95 % interval (Wilson's) is used. A term whose share
+PMI / IC reaches `generalise` is replaced by its class; from `remove` on, it nearly determines the value and is taken out. That
+holds in every text, with the value or without it. Counts are over all documents, but a pair also needs `support` different texts.
+
+Three passes read the texts. The first keeps values and terms of documents with values, once for each text. The second counts the
+terms that stand beside supported values in at least `support` texts. Pairs are formed within documents only, after terms too
+common to reach the share have been left out by a bound that loses none. The third finds told terms, beside the base spans. A
+fixed-size bit table (4 MB at most) tells a task which words may count; what passes it by chance is dropped by an exact join.
+No text is shuffled by the query; sanitising joins findings to texts once, on the id and two hashes of the text.
 
 Defined cases: a null text counts as empty; null ids are ordinary; repeated rows count as documents each; an empty table gives an
 empty result; other columns are ignored (sanitise keeps them, whatever their names).
@@ -18,7 +21,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -30,9 +32,10 @@ from pyspark.sql import functions as F
 from quayside.llm.common import WORD, stage
 
 KINDS = ("email", "ip", "card", "phone")
-WINDOW = 3
 SUPPORT = 3
 GENERALISE, REMOVE = 0.8, 0.95
+#: Square of the normal quantile of a 95 % interval.
+_Z2 = 1.96**2
 _BITS = 1 << 25
 
 # Possessive runs and the look-behinds keep each scan linear; they match what the plain patterns match.
@@ -95,33 +98,57 @@ def term(word: str) -> str | None:
     return w if len(w) >= 3 and not w.isdigit() else None
 
 
-def beside(t: str, spans: list[tuple[str, int, int]], window: int) -> list[tuple[str, list[tuple[str, int, int]]]]:
-    """For each base span its protected value (kind and text) and the terms within window words on either side."""
-    taken = sorted((a, b) for _, a, b in spans)
-    words = [m.span() for m in _WORD.finditer(t)]
-    starts, ends = [x for x, _ in words], [y for _, y in words]
-    out = []
-    for kind, a, b in spans:
-        i, j = bisect_left(starts, a), bisect_right(ends, b)
-        found = []
-        for x, y in [(x, min(y, a)) for x, y in words[max(0, i - window) : i]] + [(max(x, b), y) for x, y in words[j : j + window]]:
-            if not any(p < y and x < q for p, q in taken) and (k := term(t[x:y])):
-                found.append((k, x, y))
-        value = t[a:b].lower() if kind == "email" else t[a:b] if kind == "ip" else _digits(t[a:b])
-        out.append((f"{kind}:{value}", found))
-    return out
+def protected(t: str, spans: list[tuple[str, int, int]]) -> list[str]:
+    """The distinct protected values (kind and text) of base spans."""
+    value = {"email": str.lower, "ip": str, "card": _digits, "phone": _digits}
+    return sorted({f"{k}:{value[k](t[a:b])}" for k, a, b in spans})
+
+
+def beside(t: str, spans: list[tuple[str, int, int]]) -> str:
+    """The text with base spans blanked: what is left of words keeps its place."""
+    if not spans:
+        return t
+    out, at = [], 0
+    for a, b in sorted((a, b) for _, a, b in spans):  # spans of two kinds may overlap
+        out += [t[at:a], " " * (b - max(a, at))]
+        at = max(at, b)
+    return "".join([*out, t[at:]])
+
 
+class Terms:
+    """Words to the terms whose bit is on, kept for words that return; bounded."""
 
-_FOUND = "n_email long, n_ip long, n_card long, n_phone long, base string, base_sha256 string, near array<struct<value:string,terms:array<struct<term:string,start:int,end:int>>>>"
-_NEAR = pa.list_(pa.struct([("value", pa.string()), ("terms", pa.list_(pa.struct([("term", pa.string()), ("start", pa.int32()), ("end", pa.int32())])))]))
+    def __init__(self, bits: bytes, most: int = 500_000) -> None:
+        self.bits, self.most = bits, most
+        self.known: dict[str, str | None] = {}
 
+    def of(self, word: str) -> str | None:
+        import xxhash
 
-def find_base(docs: DataFrame, *keep: str, window: int = WINDOW) -> DataFrame:
-    """The columns in keep, counts by kind, the base spans as text and their digest, and the terms beside each value."""
+        k = self.known.get(word, "")
+        if k == "":
+            if len(self.known) > self.most:
+                self.known.clear()
+            k = term(word)
+            if k is not None:
+                h = xxhash.xxh64_intdigest(k.encode("utf-8", "replace"), 42)
+                h = (h - (1 << 64) if h >> 63 else h) % _BITS
+                k = k if self.bits[h >> 3] >> (h & 7) & 1 else None
+            self.known[word] = k
+        return k
+
+
+_FOUND = "n_email long, n_ip long, n_card long, n_phone long, base string, base_sha256 string, near array<struct<term:string,start:int,end:int>>"
+_NEAR = pa.list_(pa.struct([("term", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
+
+
+def find_spans(docs: DataFrame, told: DataFrame, *keep: str) -> DataFrame:
+    """The columns in keep, counts by kind, the base spans as text and their digest, and the words that may be told terms."""
     names = list(keep)
+    sent = docs.sparkSession.sparkContext.broadcast(_bit_table(told))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        empty = hashlib.sha256(b"").hexdigest()
+        empty, terms = hashlib.sha256(b"").hexdigest(), Terms(sent.value)
         for b in batches:
             counts: dict[str, list[int]] = {k: [] for k in KINDS}
             base, sha, near = [], [], []
@@ -133,7 +160,9 @@ def find_base(docs: DataFrame, *keep: str, window: int = WINDOW) -> DataFrame:
                     counts[k].append(c[k])
                 base.append(text := ",".join(f"{k}:{x}:{y}" for k, x, y in spans))
                 sha.append(hashlib.sha256(text.encode()).hexdigest() if spans else empty)
-                near.append([{"value": v, "terms": [{"term": w, "start": x, "end": y} for w, x, y in ts]} for v, ts in beside(t, spans, window)] if spans else [])
+                rest = beside(t, spans)
+                hits = {w: k for w in set(_WORD.findall(rest)) if (k := terms.of(w))}
+                near.append([{"term": hits[m.group()], "start": m.start(), "end": m.end()} for m in _WORD.finditer(rest) if m.group() in hits] if hits else [])
             arrays = [*b.columns[: len(names)], *(pa.array(counts[k], pa.int64()) for k in KINDS), pa.array(base, pa.string()), pa.array(sha, pa.string()), pa.array(near, _NEAR)]
             yield pa.RecordBatch.from_arrays(arrays, [*names, *(f"n_{k}" for k in KINDS), "base", "base_sha256", "near"])
 
@@ -142,53 +171,58 @@ def find_base(docs: DataFrame, *keep: str, window: int = WINDOW) -> DataFrame:
     return src.mapInArrow(run, f"{kept}, {_FOUND}" if names else _FOUND)
 
 
+def _holders(docs: DataFrame) -> DataFrame:
+    """(h1, h2, values, terms) of each row that holds a value: hashes of the text, its distinct values and terms."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at, values, terms = [], [], []
+            for i, cell in enumerate(b.column(2)):
+                t = cell.as_py() or ""
+                if spans := base_spans(t):
+                    at.append(i)
+                    values.append(protected(t, spans))
+                    terms.append(sorted({k for w in set(_WORD.findall(beside(t, spans))) if (k := term(w))}))
+            pick = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pick), b.column(1).take(pick), pa.array(values, pa.list_(pa.string())), pa.array(terms, pa.list_(pa.string()))], ["h1", "h2", "values", "terms"])
+
+    src = docs.select(F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2"), F.col("text").alias("_text"))
+    return src.mapInArrow(run, "h1 long, h2 long, values array<string>, terms array<string>")
+
+
 def _bit(word: Column) -> Column:
     return F.pmod(F.xxhash64(word), F.lit(_BITS)).cast("long")
 
 
-def _candidate_counts(docs: DataFrame, candidates: DataFrame) -> DataFrame:
-    """(term, n_t): in how many documents each candidate term stands. candidates: distinct terms."""
-    import xxhash
-
-    bit = _bit(F.col("term"))
-    bit = bit + 1  # Spark counts bits from 1
-    parts = candidates.groupBy(F.bitmap_bucket_number(bit).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("b")).collect()
-    table = np.zeros(_BITS // 8 + 8192, np.uint8)  # bounded: at most _BITS bits however many candidates there are
+def _bit_table(terms: DataFrame) -> bytes:
+    """One bit for each term of the column term; at most _BITS of them, however many terms there are."""
+    bit = _bit(F.col("term")) + 1  # Spark counts bits from 1
+    parts = terms.groupBy(F.bitmap_bucket_number(bit).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("b")).collect()
+    table = np.zeros(_BITS // 8 + 8192, np.uint8)
     for r in parts:
         at = (r["k"] - 1) * 4096
         table[at : at + 4096] |= np.frombuffer(bytes(r["b"]), np.uint8)
-    sent = docs.sparkSession.sparkContext.broadcast(table.tobytes())
+    return table.tobytes()
+
+
+def _term_counts(docs: DataFrame, candidates: DataFrame) -> DataFrame:
+    """(term, n_t): in how many documents each candidate term stands. candidates: distinct terms."""
+    sent = docs.sparkSession.sparkContext.broadcast(_bit_table(candidates))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, known, counts = sent.value, {}, Counter()
+        terms, counts = Terms(sent.value), Counter()
 
         def out() -> pa.RecordBatch:
             rb = pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["term", "n"])
             counts.clear()
             return rb
 
-        def candidate(w: str) -> str | None:
-            k = term(w)
-            if k is None:
-                return None
-            h = xxhash.xxh64_intdigest(k.encode(), 42)
-            h = (h - (1 << 64) if h >> 63 else h) % _BITS
-            return k if bits[h >> 3] >> (h & 7) & 1 else None
-
         for b in batches:
             for cell in b.column(0):
-                hits = set()
-                for w in set(_WORD.findall(cell.as_py() or "")):
-                    k = known.get(w, 0)
-                    if k == 0:
-                        if len(known) > 500_000:
-                            known.clear()
-                        k = known[w] = candidate(w)
-                    if k is not None:
-                        hits.add(k)
-                counts.update(hits)
-            if len(counts) > 200_000:
-                yield out()
+                t = cell.as_py() or ""
+                counts.update({k for w in set(_WORD.findall(beside(t, base_spans(t)))) if (k := terms.of(w))})
+                if len(counts) > 200_000:
+                    yield out()
         if counts:
             yield out()
 
@@ -196,40 +230,47 @@ def _candidate_counts(docs: DataFrame, candidates: DataFrame) -> DataFrame:
     return found.join(candidates, "term")
 
 
-def disclosures(docs: DataFrame, found: DataFrame, support: int = SUPPORT, least: float = GENERALISE) -> DataFrame:
-    """(value, term, share): terms that disclose a protected value by at least that share of its information.
-
-    found: find_base() of docs, staged."""
-    n = found.count()
-    pairs = found.select("_row", F.explode("near").alias("m")).select("_row", F.col("m.value").alias("value"), F.explode("m.terms.term").alias("term"))
-    n_et = pairs.distinct().groupBy("value", "term").agg(F.count(F.lit(1)).alias("n_et")).where(F.col("n_et") >= support)
-    n_et = stage(n_et, "pii-pairs")
-    values = found.select("_row", F.explode("near.value").alias("value")).distinct().groupBy("value").agg(F.count(F.lit(1)).alias("n_e"))
-    n_t = _candidate_counts(docs, n_et.select("term").distinct())
-    d = n_et.join(values, "value").join(n_t, "term")
-    pmi = F.log(F.col("n_et") * F.lit(float(n)) / (F.col("n_e") * F.col("n_t")))
-    ic = F.log(F.lit(float(n)) / F.col("n_e"))
-    d = d.withColumn("share", F.when(ic > 0, pmi / ic))
-    return d.where(F.col("share") >= least).select("value", "term", "share")
+def disclosures(docs: DataFrame, support: int = SUPPORT, least: float = GENERALISE) -> DataFrame:
+    """(value, term, share): terms that disclose a protected value by at least that share of its information."""
+    n = float(docs.count())
+    src = stage(_holders(docs), "pii-holders")
+    src = src.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("m"), F.first("values").alias("values"), F.first("terms").alias("terms"))
+    src = stage(src.withColumn("_row", F.monotonically_increasing_id()), "pii-texts")
+    held = src.select("_row", "m", F.explode("values").alias("value"))
+    values = held.groupBy("value").agg(F.sum("m").alias("n_e"), F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= support).drop("texts")
+    held = stage(held.join(values, "value"), "pii-values")
+    terms = src.join(held.select("_row").distinct(), "_row", "left_semi").select("_row", F.explode("terms").alias("term"))
+    few = terms.groupBy("term").agg(F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= support).select("term")
+    n_t = stage(_term_counts(docs, stage(few, "pii-candidates")), "pii-counts")
+    # P(e | t) is at most n_e / n_t, so a share of `least` needs log(N / n_t) >= least * log(N / n_e).
+    info = lambda c: F.log(F.lit(n) / F.col(c))
+    terms = terms.join(n_t.withColumn("info_t", info("n_t") + 1e-9), "term")
+    held = held.withColumn("need", info("n_e") * least)
+    pairs = held.join(terms, (held._row == terms._row) & (terms.info_t >= held.need), "inner")
+    pairs = pairs.groupBy("value", "n_e", "term", "n_t").agg(F.sum("m").alias("n_et"), F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= support)
+    p = F.col("n_et") / F.col("n_t")
+    low = (p + _Z2 / (2 * F.col("n_t")) - F.sqrt(_Z2 * (p * (1 - p) + _Z2 / (4 * F.col("n_t"))) / F.col("n_t"))) / (1 + _Z2 / F.col("n_t"))
+    share = F.when(info("n_e") > 0, F.log(low * F.lit(n) / F.col("n_e")) / info("n_e"))
+    return pairs.withColumn("share", share).where(F.col("share") >= least).select("value", "term", "share")
 
 
 def term_spans(found: DataFrame, told: DataFrame) -> DataFrame:
-    """(_row, extra): the spans of disclosing terms of each row that has any, by start; share is the largest of its values."""
-    at = found.select("_row", F.explode("near").alias("m")).select("_row", F.col("m.value").alias("value"), F.explode("m.terms").alias("t"))
-    at = at.select("_row", "value", "t.term", "t.start", "t.end")
-    hit = at.join(told, ["value", "term"]).groupBy("_row", "start", "end").agg(F.max("share").alias("share"))
-    return hit.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("start", "end", "share"))).alias("extra"))
+    """(_row, extra): the spans of told terms of each row that has any, by start. told: (term, share)."""
+    at = found.select("_row", F.explode("near").alias("t")).select("_row", "t.term", "t.start", "t.end").join(told, "term")
+    return at.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("start", "end", "share"))).alias("extra"))
 
 
 def _scan(docs: DataFrame, *keep: str) -> tuple[DataFrame, DataFrame]:
-    found = stage(find_base(docs, *keep).withColumn("_row", F.monotonically_increasing_id()), "pii-found")
-    return found, stage(term_spans(found, disclosures(docs, found)), "pii-terms")
+    """Findings of each row, numbered by _row, and the spans of terms told of any value, with the largest share."""
+    told = stage(disclosures(docs).groupBy("term").agg(F.max("share").alias("share")), "pii-told")
+    found = stage(find_spans(docs, told, *keep).withColumn("_row", F.monotonically_increasing_id()), "pii-found")
+    return found, stage(term_spans(found, told), "pii-terms")
 
 
 def pii_query(docs: DataFrame) -> DataFrame:
     found, extra = _scan(docs, "doc_id")
     more = F.array_join(F.transform("extra", lambda s: F.concat(F.lit("term:"), s["start"].cast("string"), F.lit(":"), s["end"].cast("string"))), ",")
-    d = found.join(extra, "_row", "left")
+    d = found.drop("near").join(extra, "_row", "left")
     spans = F.concat_ws(",", F.nullif(F.col("base"), F.lit("")), more)
     return d.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", spans.alias("spans"))
 
@@ -252,20 +293,22 @@ def _rewrite(t: str, base: str, extra: list[tuple[int, int, float]]) -> str:
 
 def sanitise(docs: DataFrame) -> DataFrame:
     """docs with its columns; texts with findings are rewritten and n_chars, where there is one, follows."""
-    keyed = docs.withColumn("_th", F.xxhash64("text"))
-    found, extra = _scan(keyed, "doc_id", "_th")
-    d = found.join(extra, "_row", "left").where((F.col("base") != "") | F.col("extra").isNotNull())
+    keyed = docs.withColumns({"_h1": F.xxhash64("text"), "_h2": F.xxhash64(F.lit(1), "text")})
+    found, extra = _scan(keyed, "doc_id", "_h1", "_h2")
+    d = found.drop("near").join(extra, "_row", "left").where((F.col("base") != "") | F.col("extra").isNotNull())
     # Rows equal in id and text have equal findings: one row for each key.
-    d = d.groupBy(F.col("doc_id").alias("_id"), F.col("_th").alias("_t")).agg(F.min("base").alias("_base"), F.min("extra").alias("_extra"))
-    j = keyed.join(d, keyed.doc_id.eqNullSafe(d._id) & (keyed._th == d._t), "left")
+    d = d.groupBy(F.col("doc_id").alias("_id"), F.col("_h1").alias("_t1"), F.col("_h2").alias("_t2")).agg(F.min("base").alias("_base"), F.min("extra").alias("_extra"))
+    j = keyed.join(d, keyed.doc_id.eqNullSafe(d._id) & (keyed._h1 == d._t1) & (keyed._h2 == d._t2), "left")
 
     @F.pandas_udf("string")
     def rewrite(text, base, extra):  # noqa: ANN001, ANN202
         import pandas as pd
 
-        return pd.Series([t if b is None else _rewrite(t or "", b, [(e["start"], e["end"], e["share"]) for e in (x if x is not None else ())]) for t, b, x in zip(text, base, extra, strict=True)], dtype=object)
+        return pd.Series([None if b is None else _rewrite(t or "", b, [(e["start"], e["end"], e["share"]) for e in (x if x is not None else ())]) for t, b, x in zip(text, base, extra, strict=True)], dtype=object)
 
-    hit = j.where(F.col("_base").isNotNull()).withColumn("text", rewrite("text", "_base", "_extra"))
+    hit = F.col("_base").isNotNull()
+    j = j.withColumn("_new", rewrite(F.when(hit, F.col("text")), "_base", "_extra"))  # other texts don't travel to Python
+    out = {"text": F.when(hit, F.col("_new")).otherwise(F.col("text"))}
     if "n_chars" in docs.columns:
-        hit = hit.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return hit.select(*docs.columns).unionByName(j.where(F.col("_base").isNull()).select(*docs.columns))
+        out["n_chars"] = F.when(hit, F.char_length("_new").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    return j.select(*[out[c].alias(c) if c in out else F.col(c) for c in docs.columns])
