@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 _STAGED: list[str] = []
+_PATHS: dict[int, tuple[DataFrame, str]] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,12 +29,15 @@ def byte_size(text: Column | str) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: what the cluster names, a temporary one only where none is named."""
+    """The folder that driver and executors share: what the cluster names. Where none is named, a temporary one in local mode,
+    as in tests; on a cluster, whose executors would each write to a disk of their own, an error."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     found = spark.sparkContext._jsc.sc().getCheckpointDir()
     if found.isEmpty():
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir is not set: it must name a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="quayside-"))
         found = spark.sparkContext._jsc.sc().getCheckpointDir()
     return found.get().rstrip("/")
@@ -46,17 +50,31 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/quayside-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _STAGED.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _PATHS[id(out)] = (out, path)
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def unstage(*tables: DataFrame) -> None:
+    """Deletes tables made by stage() that no later result reads: whatever was made of them has been staged itself."""
+    for t in tables:
+        _, path = _PATHS.pop(id(t), (None, None))
+        if path is not None:
+            _STAGED.remove(path)
+            _delete(t.sparkSession, path)
 
 
 def clear_staged(spark: SparkSession) -> int:
     """Deletes the tables staged so far; call it when the results that read them have been written. Their number."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     n = len(_STAGED)
+    _PATHS.clear()
     while _STAGED:
-        path = jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
-        path.getFileSystem(conf).delete(path, True)
+        _delete(spark, _STAGED.pop())
     return n
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import stage
+from quayside.llm.common import stage, unstage
 
 
 def _large_star(e: DataFrame) -> DataFrame:
@@ -24,12 +24,13 @@ def _small_star(e: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """edges (u, v) of longs, either way round -> (node, label): the least node of each component, for nodes with an edge but
+    """edges (u, v), either way round -> (node, label): the least node of each component, for nodes with an edge but
     the least ones themselves."""
     e = stage(edges.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "cc")
     mark = None
     for _ in range(max_rounds):
-        e = stage(_small_star(_large_star(e)), "cc")
+        old, e = e, stage(_small_star(_large_star(e)), "cc")
+        unstage(old)
         now = e.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("h")).first()
         if now == mark:
             return e.select(F.col("u").alias("node"), F.col("v").alias("label"))

@@ -1,26 +1,9 @@
 """SimHash near-copies: 64-bit fingerprints of word shingles, exact linking within a Hamming distance, components.
 
-Fingerprints are made in Arrow batches. Equal ones are one node, so a group of copies is a single row from there on.
-
-Linking uses vantage-point trees. At radius 4 a tree over all 64 bits prunes next to nothing: distances from any vantage point
-gather within 4 of 32. So the trees are grown where the triangle bound is sharp: the bits are cut into b blocks, and two
-fingerprints within r bits agree wholly on at least b - r of them; on such blocks their distance, and so the allowed difference
-of their distances to any vantage point, is 0. A shard is the set of fingerprints with the same value there: the leaf of
-a tree in the blocks' own Hamming distance, with no overlap. Each shard then grows a tree over all bits. A vantage point
-splits it at the median distance m; a pair within r lies wholly below m + r / 2 or wholly above m - r / 2, so both sides
-take the overlap and none is compared across. A split that would not save comparisons is a leaf, scanned with popcounts.
-b follows from the number of distinct fingerprints by a cost estimate; every b gives the same links.
-
-A shard emits a spanning forest of its links, not its pairs. A shard above a size bound is dealt into chunks, and
-each pair of chunks is one task's work, so no task holds an unbounded shard.
-
-Near-copies in the everyday sense, word-shingle sets alike by 0.8, are farther apart than 4 bits (mostly 6 to 15), where neither blocks nor
-trees over 64 bits are selective; and a repeated line moves a fingerprint far without changing the set. `one_of_each` therefore
-leaves fingerprints aside and searches the sets themselves, without loss. Under any order of all shingles, two sets alike by s share
-one of the first n - ceil(s n) + 1 shingles of each, n being its size; with rare shingles first, such heads meet few others. The order
-comes from a count of all shingles, held in two tables of fixed size: whether a shingle may be in a second text, and about how often.
-It is the same for every set, so what the tables mix up costs comparisons, never pairs. A text whose head has only shingles of its
-own is done. Texts whose heads share a shingle are a shard, equal shards are one, and whole shingle sets decide in it.
+Fingerprints are made in Arrow batches. Equal ones are one node, so a group of copies is a single row from there on. Links within the
+radius come from vantage-point trees (`vantage`); components from star rounds over the links (`components`). A node is
+named by the least doc_id of its rows before its fingerprint, so a component's least name holds the least doc_id reachable and no join
+on a component is needed.
 
 Defined cases: null and empty texts have fingerprint zero and are linked like any other; null ids never become a
 component's id unless all its ids are null; repeated rows are copies; an empty table gives an empty result; other columns
@@ -30,28 +13,20 @@ are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from fractions import Fraction
-from itertools import accumulate, combinations
-from math import comb
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import shuffle_partitions, stage
+from quayside.llm.common import stage
 from quayside.llm.components import components
+from quayside.llm.vantage import SHARD_BOUND, links
 
 BITS = 64
 SEED = 42
 RADIUS = 4
-#: Near-copies: shingle sets that are alike by 0.8.
-SIMILARITY = 0.8
-#: Shingles are counted by the first 40 bits of their hashes, in 2^8 buckets, into 2^28 bits and 2^22 bytes.
-BUCKET_BITS, SHARED_BITS, OFTEN_BITS, OFTEN = 8, 28, 22, 4
-PACKED = 1_000_000
-LEAF = 64
-SHARD_BOUND = 50_000
 
 
 def shingle_hashes(text: bytes, shingle: int, seed: int = SEED) -> np.ndarray:
@@ -97,386 +72,32 @@ def fingerprints(docs: DataFrame, *keep: str, shingle: int = 4) -> DataFrame:
     return src.mapInArrow(run, schema)
 
 
-def _distance(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    return np.bitwise_count((x ^ y).view(np.uint64))  # of a signed number it would count the magnitude's bits
-
-
-def _close(x: np.ndarray, y: np.ndarray, r: int) -> np.ndarray:
-    return _distance(x, y) <= r
-
-
-def _scan(p: np.ndarray, r: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """A spanning forest of the links among p: from each reached point, the points not reached yet and close to it are taken off."""
-    out, rest = [], p
-    while len(rest) > 1:
-        todo, rest = [rest[0]], rest[1:]
-        while todo and len(rest):
-            x = todo.pop()
-            hit = _close(rest, x, r)
-            if hit.any():
-                got = rest[hit]
-                out.append((np.full(len(got), x), got))
-                todo.extend(got)
-                rest = rest[~hit]
-    return out
-
-
-def vp_links(p: np.ndarray, r: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Links that connect whatever is connected among the distinct fingerprints p by steps of at most r bits."""
-    if len(p) <= LEAF:
-        return _scan(p, r)
-    d = _distance(p, p[len(p) // 2]).astype(np.int64)
-    m = int(np.median(d))
-    half = r / 2
-    low, high = d <= m + half, d >= m - half
-    n_low, n_high = int(low.sum()), int(high.sum())
-    # The overlap is compared on both sides: a split must save comparisons, else this node is a leaf.
-    if max(n_low, n_high) == len(p) or n_low**2 + n_high**2 > 0.9 * len(p) ** 2:
-        return _scan(p, r)
-    return vp_links(p[low], r) + vp_links(p[high], r)
+#: Ids are shifted to be positive, so that their digits sort as they do.
+_ID, _OFFSET = 20, str(1 << 63)
 
 
-def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs -> each point with the least point of its component."""
-    pts, inv = np.unique(np.concatenate([a, b]), return_inverse=True)
-    x, y = inv[: len(a)], inv[len(a) :]
-    lab = np.arange(len(pts))
-    while True:
-        new = lab.copy()
-        np.minimum.at(new, x, lab[y])
-        np.minimum.at(new, y, lab[x])
-        new = new[new]
-        if (new == lab).all():
-            break
-        lab = new
-    off = lab != np.arange(len(pts))
-    return pts[off], pts[lab[off]]
-
-
-def _small_shards(fp: np.ndarray, start: np.ndarray, size: np.ndarray, r: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """All links inside many small shards at once: each point against the s-th after it in its shard."""
-    out = []
-    if not len(size):
-        return out
-    idx = np.concatenate([np.arange(a, a + n) for a, n in zip(start, size, strict=True)])
-    left = np.concatenate([np.arange(n - 1, -1, -1) for n in size])
-    s = 1
-    while True:
-        on = left >= s
-        idx, left = idx[on], left[on]
-        if not len(idx):
-            return out
-        hit = _close(fp[idx], fp[idx + s], r)
-        if hit.any():
-            out.append((fp[idx[hit]], fp[idx[hit] + s]))
-        s += 1
-
-
-def _link_partition(radius: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tail_k, tail_f = np.empty(0, np.int64), np.empty(0, np.int64)
-
-        def solve(k: np.ndarray, f: np.ndarray) -> pa.RecordBatch | None:
-            if not len(k):
-                return None
-            cut = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
-            size = np.diff(np.r_[cut, len(k)])
-            small = (size > 1) & (size <= LEAF)
-            found = _small_shards(f, cut[small], size[small], radius)
-            for a, n in zip(cut[size > LEAF], size[size > LEAF], strict=True):
-                found += vp_links(np.unique(f[a : a + n]), radius)
-            if not found:
-                return None
-            u, v = _forest(np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found]))
-            return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
-
-        for b in batches:
-            k = np.concatenate([tail_k, b.column(0).to_numpy(zero_copy_only=False)])
-            f = np.concatenate([tail_f, b.column(1).to_numpy(zero_copy_only=False)])
-            last = int(np.searchsorted(k, k[-1])) if len(k) else 0  # the last shard may go on in the next batch
-            if (out := solve(k[:last], f[:last])) is not None:
-                yield out
-            tail_k, tail_f = k[last:], f[last:]
-        if (out := solve(tail_k, tail_f)) is not None:
-            yield out
+def _name(doc_id: Column, fp: Column) -> Column:
+    """Text that sorts by doc_id, null last, then by fp."""
+    digits = F.lpad((doc_id.cast("decimal(20,0)") + F.lit(_OFFSET).cast("decimal(20,0)")).cast("string"), _ID, "0")
+    return F.concat(F.coalesce(digits, F.lit("z" * _ID)), F.hex(fp))
 
-    return run
 
+def _id_of(name: Column) -> Column:
+    digits = F.substring(name, 1, _ID)
+    return F.when(digits != "z" * _ID, (digits.cast("decimal(20,0)") - F.lit(_OFFSET).cast("decimal(20,0)")).cast("long"))
 
-def block_plan(n: int, radius: int) -> tuple[list[list[tuple[int, int]]], int]:
-    """Blocks for n fingerprints: for each table the (shift, width) of the blocks that agree, by the least estimated work."""
-    best = None
-    for b in range(radius + 1, radius + 5):
-        same = b - radius
-        bits = BITS * same // b
-        cost = comb(b, same) * (200 + n / 2**bits)
-        if best is None or cost < best[0]:
-            best = (cost, b, same)
-    _, b, same = best
-    edges = [round(i * BITS / b) for i in range(b + 1)]
-    blocks = [(edges[i], edges[i + 1] - edges[i]) for i in range(b)]
-    return [list(c) for c in combinations(blocks, same)], b
 
-
-def _split_large(dealt: DataFrame, node: str, bound: int) -> DataFrame:
-    """(node, shard) with shards above the bound dealt into chunks: each pair of chunks becomes a shard of its own."""
-    big = stage(dealt.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > bound), "simhash-big")
-    if big.isEmpty():
-        return dealt
-    j = dealt.join(big, "shard", "left").withColumn("g", F.coalesce(F.ceil(F.col("n") / bound), F.lit(1)).cast("int"))
-    mine = F.pmod(F.xxhash64(node), F.col("g")).cast("int")
-    cell = F.explode(F.transform(F.sequence(F.lit(0), F.col("g") - 1), lambda o: F.struct(F.least(o, mine).alias("a"), F.greatest(o, mine).alias("b"))))
-    cells = j.select(node, "shard", cell.alias("cell"))
-    return cells.select(node, F.when(F.col("cell.a") + F.col("cell.b") == 0, F.col("shard")).otherwise(F.xxhash64("shard", "cell")).alias("shard"))
-
-
-def links(fps: DataFrame, radius: int = RADIUS, shard_bound: int = SHARD_BOUND) -> DataFrame:
-    """fps: distinct fp -> edges (u, v) that connect whatever is connected by steps of at most radius bits."""
-    tables, _ = block_plan(fps.count(), radius)
-    keys = []
-    for i, blocks in enumerate(tables):
-        parts = [F.shiftrightunsigned("fp", s).bitwiseAND(F.lit((1 << w) - 1)) for s, w in blocks]
-        key = F.lit(i).cast("long")
-        for (_, w), x in zip(blocks, parts, strict=True):
-            key = F.shiftleft(key, w).bitwiseOR(x)
-        keys.append(key)
-    dealt = fps.select("fp", F.explode(F.array(*keys)).alias("shard"))
-    dealt = _split_large(dealt, "fp", shard_bound)
-    dealt = dealt.repartition(shuffle_partitions(fps.sparkSession), "shard").sortWithinPartitions("shard", "fp")
-    return dealt.select("shard", "fp").mapInArrow(_link_partition(radius), "u long, v long")
-
-
-def near_components(rows: DataFrame, radius: int = RADIUS, shard_bound: int = SHARD_BOUND) -> DataFrame:
-    """rows with fp (staged) -> (fp, label): the same label for all fingerprints of a component."""
-    fps = stage(rows.select("fp").distinct(), "simhash-fps")
-    found = components(links(fps, radius, shard_bound))
-    return fps.join(found, fps.fp == found.node, "left").select("fp", F.coalesce("label", "fp").alias("label"))
+def near_components(fps: DataFrame, radius: int = RADIUS, shard_bound: int = SHARD_BOUND) -> DataFrame:
+    """fps, staged: distinct fp and least, its least doc_id -> (fp, component_id): the least id in the fingerprint's component."""
+    named = fps.select("fp", "least", _name(F.col("least"), F.col("fp")).alias("name"))
+    e = links(fps.select("fp"), radius, shard_bound)
+    e = e.join(named.select(F.col("fp").alias("u"), F.col("name").alias("un")), "u").join(named.select(F.col("fp").alias("v"), F.col("name").alias("vn")), "v")
+    found = components(e.select(F.col("un").alias("u"), F.col("vn").alias("v")))
+    return named.join(found, named.name == found.node, "left").select("fp", F.when(F.col("label").isNull(), F.col("least")).otherwise(_id_of(F.col("label"))).alias("component_id"))
 
 
 def simhash_query(docs: DataFrame, shingle: int = 4, radius: int = RADIUS) -> DataFrame:
     """doc_id, fingerprint (16 hexadecimal digits), component_id (the least doc_id reachable)."""
     rows = stage(fingerprints(docs, "doc_id", shingle=shingle), "simhash-rows")
-    label = near_components(rows, radius)
-    least = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    named = label.join(least, "fp")
-    comp = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    named = named.join(comp, "label").select("fp", "component_id")
-    return rows.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
-
-
-def _node(shingles: bytes) -> int:
-    import xxhash
-
-    return int(np.array([xxhash.xxh64_intdigest(shingles)], np.uint64).view(np.int64)[0])
-
-
-def _sets(b: pa.RecordBatch, shingle: int) -> Iterator[tuple[int, bytes]]:
-    """Node and shingle set of each row, from columns node and shingles, or from the text in _bytes."""
-    if "_bytes" in b.schema.names:
-        for t in b.column("_bytes"):
-            u = np.unique(shingle_hashes(t.as_py() or b"", shingle)).tobytes()
-            yield _node(u), u
-    else:
-        for k, x in zip(b.column("node"), b.column("shingles"), strict=True):
-            yield k.as_py(), x.as_py()
-
-
-def sketches(docs: DataFrame, *keep: str, shingle: int, whole: bool = True) -> DataFrame:
-    """The columns in keep; node, one for each set of shingles; and, if whole, shingles, the set in order, 8 bytes each."""
-    names = list(keep)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            node, sets = [], []
-            for k, u in _sets(b, shingle):
-                node.append(k)
-                if whole:
-                    sets.append(u)
-            more = {"node": pa.array(node, pa.int64())} | ({"shingles": pa.array(sets, pa.binary())} if whole else {})
-            yield pa.RecordBatch.from_arrays([*b.columns[: len(names)], *more.values()], [*names, *more])
-
-    src = docs.select(*names, F.col("text").cast("binary").alias("_bytes"))
-    schema = docs.select(*names).schema.add("node", "long")
-    return src.mapInArrow(run, schema.add("shingles", "binary") if whole else schema)
-
-
-def _pack(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
-    """Rows of _sets() -> for each bucket the next 32 bits of its hashes, once for each text, in order."""
-    held: list[np.ndarray] = []
-    seen: set[int] = set()
-
-    def out() -> pa.RecordBatch:
-        h = np.sort(np.concatenate(held))
-        edges = np.searchsorted(h >> np.uint64(64 - BUCKET_BITS), np.arange((1 << BUCKET_BITS) + 1, dtype=np.uint64))
-        low = (h >> np.uint64(32 - BUCKET_BITS)).astype(np.uint32)
-        full = np.flatnonzero(np.diff(edges))
-        held.clear()
-        seen.clear()
-        return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array([low[edges[i] : edges[i + 1]].tobytes() for i in full], pa.binary())], ["bucket", "hashes"])
-
-    n = 0
-    for b in batches:
-        for node, x in _sets(b, shingle):
-            if node not in seen and (u := np.frombuffer(x, np.uint64)).size:
-                seen.add(node)
-                held.append(u)
-                n += len(u)
-            if n > PACKED:
-                yield out()
-                n = 0
-    if held:
-        yield out()
-
-
-def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """_pack() rows in order of bucket -> each bucket's part of the two tables."""
-
-    def solve(bucket: int, parts: list[bytes]) -> pa.RecordBatch:
-        x = np.sort(np.frombuffer(b"".join(parts), np.uint32))
-        first = np.flatnonzero(np.r_[True, x[1:] != x[:-1]])
-        times = np.diff(np.r_[first, len(x)])
-        x = x[first]
-        shared = np.zeros(1 << (SHARED_BITS - BUCKET_BITS), bool)
-        shared[x[times > 1] >> np.uint32(32 + BUCKET_BITS - SHARED_BITS)] = True
-        often = np.zeros(1 << (OFTEN_BITS - BUCKET_BITS), np.uint8)
-        on = times >= OFTEN
-        np.maximum.at(often, x[on] >> np.uint32(32 + BUCKET_BITS - OFTEN_BITS), np.frexp(times[on])[1].astype(np.uint8))
-        return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([np.packbits(shared, bitorder="little").tobytes()], pa.binary()), pa.array([often.tobytes()], pa.binary())], ["bucket", "shared", "often"])
-
-    bucket, parts = None, []
-    for b in batches:
-        for k, x in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-            if k != bucket:
-                if parts:
-                    yield solve(bucket, parts)
-                bucket, parts = k, []
-            parts.append(x.as_py())
-    if parts:
-        yield solve(bucket, parts)
-
-
-def _heads(rows: DataFrame, least: Fraction, shingle: int) -> DataFrame:
-    """(node, head, shingles) of rows that may have a near-copy; head: the first shingles of the common order that may be shared."""
-    spark = rows.sparkSession
-    # From texts: hashed in each pass, as the sets are larger, and one Python worker a task is enough.
-    rows = rows.select("node", "shingles") if "shingles" in rows.columns else rows.select(F.col("text").cast("binary").alias("_bytes"))
-    packed = rows.mapInArrow(lambda batches: _pack(batches, shingle), "bucket int, hashes binary")
-    packed = packed.repartition(shuffle_partitions(spark), "bucket").sortWithinPartitions("bucket")
-    shared, often = np.zeros(1 << (SHARED_BITS - 3), np.uint8), np.zeros(1 << OFTEN_BITS, np.uint8)
-    for r in packed.mapInArrow(_tally, "bucket int, shared binary, often binary").collect():  # 37 MB, whatever the table
-        for table, part in ((shared, r["shared"]), (often, r["often"])):
-            table[r["bucket"] * len(part) : (r["bucket"] + 1) * len(part)] = np.frombuffer(bytes(part), np.uint8)
-    sent = spark.sparkContext.broadcast((shared, often))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, classes = sent.value
-        for b in batches:
-            node, head, sets = [], [], []
-            for k, x in _sets(b, shingle):
-                u = np.frombuffer(x, np.uint64)
-                at = u >> np.uint64(64 - SHARED_BITS)
-                mine = u[bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1 > 0]
-                # A near-copy shares `must` shingles or more; those of this text alone come first in the order.
-                must = -(-len(u) * least.numerator // least.denominator)
-                if len(mine) < max(1, must):
-                    continue
-                order = np.lexsort((mine, classes[mine >> np.uint64(64 - OFTEN_BITS)]))
-                node.append(k)
-                head.append(mine[order[: len(mine) - max(1, must) + 1]].view(np.int64))
-                sets.append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(head, pa.list_(pa.int64())), pa.array(sets, pa.binary())], ["node", "head", "shingles"])
-
-    return stage(rows.mapInArrow(run, "node long, head array<long>, shingles binary"), "simhash-heads")
-
-
-class SetIndex:
-    """Which of some shingle sets contain each shingle; a set meets only those with which it shares one."""
-
-    def __init__(self, sets: list[np.ndarray]) -> None:
-        self.size = np.array([len(x) for x in sets], np.int64)
-        self.end = np.cumsum(self.size)
-        _, self.word, self.count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-        owner = np.repeat(np.arange(len(sets)), self.size)
-        self.owners = owner[np.argsort(self.word, kind="stable")]
-        self.first = np.cumsum(self.count) - self.count
-
-    def alike(self, i: int, least: Fraction) -> np.ndarray:
-        """For each set whether its Jaccard similarity to set i is `least` or more, in whole numbers."""
-        w = self.word[self.end[i] - self.size[i] : self.end[i]]
-        n = self.count[w]
-        at = np.repeat(self.first[w] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        both = np.bincount(self.owners[at], minlength=len(self.size))
-        return (both > 0) & (both * least.denominator >= (self.size + self.size[i] - both) * least.numerator)
-
-
-def _link_similar(similarity: float):
-    """Rows (shard, node, shingles) in order of shard -> links of a spanning forest in each."""
-    least = Fraction(repr(similarity))
-
-    def solve(nodes: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
-        index = SetIndex(sets)
-        out, rest = [], np.arange(1, len(nodes))
-        start = 0
-        while True:
-            todo = [start]
-            while todo and len(rest):
-                x = todo.pop()
-                hit = index.alike(x, least)[rest]
-                out += [(int(nodes[x]), int(nodes[i])) for i in rest[hit]]
-                todo.extend(rest[hit].tolist())
-                rest = rest[~hit]
-            if not len(rest):
-                return out
-            start, rest = int(rest[0]), rest[1:]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, nodes, sets = None, [], []
-        for b in batches:
-            found: list[tuple[int, int]] = []
-            for k, n, s in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                if k != shard:
-                    if len(nodes) > 1:
-                        found += solve(np.array(nodes), sets)
-                    shard, nodes, sets = k, [], []
-                nodes.append(n)
-                sets.append(np.frombuffer(s, np.uint64))
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array([u for u, _ in found], pa.int64()), pa.array([v for _, v in found], pa.int64())], ["u", "v"])
-        if len(nodes) > 1 and (found := solve(np.array(nodes), sets)):
-            yield pa.RecordBatch.from_arrays([pa.array([u for u, _ in found], pa.int64()), pa.array([v for _, v in found], pa.int64())], ["u", "v"])
-
-    return run
-
-
-def similar_components(rows: DataFrame, similarity: float = SIMILARITY, shard_bound: int = 5_000, nodes: DataFrame | None = None, shingle: int = 5) -> DataFrame:
-    """sketches() rows -> (node, label): the same label for all nodes that are linked by similarity. With nodes, staged, rows may be texts."""
-    n = shuffle_partitions(rows.sparkSession)
-    heads = _heads(rows, Fraction(repr(similarity)), shingle)
-    held = stage(heads.select("node", F.explode("head").alias("word")).distinct(), "simhash-held")
-    # Shingles held by the same nodes make the same shard.
-    own = F.xxhash64("node")
-    who = held.groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(own).alias("x"), F.min(own).alias("m")).where("n > 1")
-    dealt = held.join(who, "word").select("node", F.xxhash64("n", "x", "m").alias("shard")).distinct()
-    dealt = _split_large(stage(dealt, "simhash-dealt"), "node", shard_bound)
-    dealt = dealt.join(heads.select("node", "shingles").dropDuplicates(["node"]), "node").select("shard", "node", "shingles")
-    dealt = dealt.repartition(n, "shard").sortWithinPartitions("shard", "node")
-    found = components(dealt.mapInArrow(_link_similar(similarity), "u long, v long"))
-    all_nodes = (rows if nodes is None else nodes).select(F.col("node").alias("_n")).distinct()
-    return all_nodes.join(found, all_nodes._n == found.node, "left").select(F.col("_n").alias("node"), F.coalesce("label", "_n").alias("label"))
-
-
-def one_of_each(docs: DataFrame, shingle: int = 5, similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of docs, one of each group of near-copies: the least doc_id, of equal ids the least hash of the text, once.
-
-    Two texts are near-copies if their sets of word shingles are alike by `similarity` or more; groups are what such links connect."""
-    own = docs.columns
-    keyed = docs.withColumn("_th", F.xxhash64("text"))
-    rows = stage(sketches(keyed, "doc_id", "_th", shingle=shingle, whole=False), "simhash-nodes")
-    key = F.struct(F.col("doc_id").isNull().alias("null_last"), "doc_id", "_th")
-    per_node = rows.groupBy("node").agg(F.min(key).alias("k"))
-    stay = similar_components(docs.select("text"), similarity, nodes=rows, shingle=shingle).join(per_node, "node").groupBy("label").agg(F.min("k").alias("k")).select(F.col("k.doc_id").alias("_id"), F.col("k._th").alias("_t"))
-    d = keyed.join(stay, keyed.doc_id.eqNullSafe(stay._id) & (keyed._th == stay._t), "left_semi")
-    repeated = rows.groupBy("doc_id", "_th").count().where("count > 1")
-    if not repeated.isEmpty():
-        d = d.dropDuplicates(["doc_id", "_th"])
-    return d.select(*own)
+    fps = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-fps")
+    return rows.join(near_components(fps, radius), "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")

@@ -6,7 +6,7 @@ import random
 
 import numpy as np
 
-from quayside.llm import simhash
+from quayside.llm import near_copies, simhash
 
 
 def words(rng, n):
@@ -20,7 +20,7 @@ def jaccard(a, b):
 
 def kept(spark, texts):
     d = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
-    return {r.doc_id for r in simhash.one_of_each(d).collect()}
+    return {r.doc_id for r in near_copies.one_of_each(d).collect()}
 
 
 def edited(rng, base, above):
@@ -46,7 +46,7 @@ def test_set_index_counts_in_whole_numbers():
     from fractions import Fraction
 
     sets = [np.arange(a, b, dtype=np.uint64) for a, b in ((0, 1000), (0, 800), (0, 799), (200, 1000), (5000, 5004), (0, 0))]
-    index = simhash.SetIndex(sets)
+    index = near_copies.SetIndex(sets)
     assert index.alike(0, Fraction("0.8")).tolist() == [True, True, False, True, False, False]
 
 
@@ -71,6 +71,26 @@ def test_no_pair_is_left_to_chance(spark):
     assert kept(spark, texts) == set(range(0, 16, 2))
 
 
+def test_empty_tables_and_texts(spark):
+    assert kept(spark, []) == set()
+    d = spark.createDataFrame([(3, None), (1, ""), (2, " \n"), (None, "a b"), (7, "a b"), (7, "a b"), (None, None)], "doc_id long, text string")
+    assert sorted((r.doc_id, r.text) for r in near_copies.one_of_each(d).collect()) == [(1, ""), (7, "a b")]
+
+
+def test_a_long_group_splits_into_chunks_and_rounds(spark):
+    """A chain of edits whose ends share little, cut into chunks of two or three texts."""
+    rng = random.Random(13)
+    text, texts = words(rng, 100), []
+    for i in range(40):
+        text = [*text[:i], *words(rng, 1), *text[i + 1 :]]
+        texts.append(text)
+    assert jaccard(texts[0], texts[-1]) < 0.5
+    d = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    rows = near_copies.sketches(d, "doc_id", shingle=5).persist()
+    for bound in (250, 1_000_000):
+        assert len({r.label for r in near_copies.similar_components(rows, shard_bound=bound).collect()}) == 1
+
+
 def test_whole_table_by_brute_force(spark):
     d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
     rows = sorted((r.doc_id, set(simhash.shingle_hashes((r.text or "").encode(), 5).tolist())) for r in d.collect())
@@ -88,6 +108,6 @@ def test_whole_table_by_brute_force(spark):
         to = min(label[j] for j in alike)
         old = {label[j] for j in alike}
         label = [to if x in old else x for x in label]
-    got = sorted(r.doc_id for r in simhash.one_of_each(d).collect())
+    got = sorted(r.doc_id for r in near_copies.one_of_each(d).collect())
     assert got == [rows[i][0] for i in sorted(set(label))]
     assert len(got) < len(rows)

@@ -43,9 +43,8 @@ def test_one_of_each_group_stays(steps):
     kept = {r.doc_id for r in steps[2].collect()}
     alike = lambda a, b: len(rows[a] & rows[b]) / len(rows[a] | rows[b])
     most = {a: max((alike(a, b), b) for b in rows if b != a) for a in rows}
-    # The sample of a large set misses its similarity by a few hundredths.
-    assert all(most[a][0] > 0.75 for a in rows.keys() - kept)
-    assert all(alike(a, b) < 0.85 for a in kept for b in kept if a < b)
+    assert all(most[a][0] >= 0.8 for a in rows.keys() - kept)
+    assert all(alike(a, b) < 0.8 for a in kept for b in kept if a < b)
     assert len(rows) - len(kept) > 5
 
 
