@@ -6,12 +6,12 @@ from its words and measures of their shape. A learned layer encodes it, gated at
 and the score is a logistic of the weighted passage representation. Only document labels train it.
 
 Executors make the passage inputs, of the training sample too, so the driver gets numbers, never texts. The sample is the
-`SAMPLE` labelled rows of least hash (rows whose crc32(doc_id) mod 4 is 2 are never learnt from); of a document over
-`SAMPLE_PASSAGES` passages an even spread is sent for learning. Scoring has no such bound.
+`SAMPLE` labelled rows of least hash (rows whose crc32(doc_id) mod 4 is 2 are never learnt from), one for each doc_id, with all their
+passages. Samples of any size are learnt from in the same `STEPS` batches. Scoring reads every document.
 
 Defined cases: null and empty texts are a bag of one blank passage and are scored like any other; null ids are not held out and
 not learnt from; a row of labels with a null or unknown quality is skipped, of several for an id the least counts; without labelled
-rows every score is 0.5; repeated rows score alike; an empty table gives an empty result; other columns are ignored.
+rows every score is 0.5; repeated rows score alike, and an id is learnt from once; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,10 +29,8 @@ WORD_DIM, SHAPE_DIM, EXTRA = 16, 9, 3
 INPUT = WORD_DIM + SHAPE_DIM + EXTRA
 CODE, GATE = 24, 12
 BUCKETS = 1 << 14
-SAMPLE, SAMPLE_PASSAGES = 6000, 64
-EPOCHS, BATCH, RATE, DECAY, SEED = 30, 64, 0.005, 1e-5, 7
-#: Small samples are gone through more often.
-LEAST_STEPS = 800
+SAMPLE = 6000
+STEPS, BATCH, RATE, DECAY, SEED = 2000, 64, 0.005, 1e-5, 7
 THRESHOLD = 0.7
 
 _SYMBOLS = frozenset("#*$%&|<>@=_{}[]\\^~/+")
@@ -141,46 +139,57 @@ class Model:
         return out
 
 
-def fit(bags: list[np.ndarray], labels: np.ndarray) -> Model:
-    """Adam on the documents' log loss; the same bags in the same order give the same model."""
+def start(x: np.ndarray) -> dict[str, np.ndarray]:
+    """Weights before learning, scaled to the inputs x."""
     rng = np.random.default_rng(SEED)
-    x_all = np.concatenate(bags).astype(float) if bags else np.zeros((1, INPUT))
-    w = {
+    return {
         "we": rng.normal(0, INPUT**-0.5, (INPUT, CODE)), "be": np.zeros(CODE),
         "v": rng.normal(0, CODE**-0.5, (CODE, GATE)), "bv": np.zeros(GATE),
         "u": rng.normal(0, CODE**-0.5, (CODE, GATE)), "bu": np.zeros(GATE),
         "a": rng.normal(0, GATE**-0.5, GATE), "c": np.zeros(CODE), "d": np.zeros(()),
+        "shift": x.mean(0), "scale": x.std(0) + 1e-3,
     }
-    w["shift"], w["scale"] = x_all.mean(0), x_all.std(0) + 1e-3
+
+
+def gradients(model: Model, bags: list[np.ndarray], labels: np.ndarray) -> dict[str, np.ndarray]:
+    """Of the mean log loss over the bags, by each learnt weight."""
+    w = model.w
+    sizes = np.array([len(b) for b in bags])
+    starts, owner = np.cumsum(sizes) - sizes, np.repeat(np.arange(len(bags)), sizes)
+    x = np.concatenate(bags).astype(float)
+    p, h, tv, su, att, z = model.forward(x, starts, owner)
+    do = (p - labels) / len(bags)
+    g = {"c": z.T @ do, "d": do.sum()}
+    dz = do[:, None] * w["c"]
+    datt = (dz[owner] * h).sum(1)
+    ds = att * (datt - np.add.reduceat(att * datt, starts)[owner])
+    g["a"] = (tv * su).T @ ds
+    dv, du = ds[:, None] * w["a"] * su * (1 - tv**2), ds[:, None] * w["a"] * tv * su * (1 - su)
+    g["v"], g["bv"], g["u"], g["bu"] = h.T @ dv, dv.sum(0), h.T @ du, du.sum(0)
+    dh = (att[:, None] * dz[owner] + dv @ w["v"].T + du @ w["u"].T) * (1 - h**2)
+    g["we"], g["be"] = ((x - w["shift"]) / w["scale"]).T @ dh, dh.sum(0)
+    return g
+
+
+def fit(bags: list[np.ndarray], labels: np.ndarray) -> Model:
+    """Adam on the documents' log loss, in STEPS batches; the same bags in the same order give the same model."""
+    rng = np.random.default_rng(SEED)
+    model = Model(start(np.concatenate(bags).astype(float) if bags else np.zeros((1, INPUT))))
+    w = model.w
     learnt = [k for k in w if k not in ("shift", "scale")]
     m1, m2 = {k: np.zeros_like(w[k]) for k in learnt}, {k: np.zeros_like(w[k]) for k in learnt}
-    model, step = Model(w), 0
-    epochs = max(EPOCHS, -(-LEAST_STEPS // -(-len(bags) // BATCH))) if bags else 0
-    for epoch in range(epochs):
-        order = rng.permutation(len(bags))
-        for at in range(0, len(order), BATCH):
-            pick = order[at : at + BATCH]
-            sizes = np.array([len(bags[i]) for i in pick])
-            starts, owner = np.cumsum(sizes) - sizes, np.repeat(np.arange(len(pick)), sizes)
-            x = np.concatenate([bags[i] for i in pick]).astype(float)
-            p, h, tv, su, att, z = model.forward(x, starts, owner)
-            do = (p - labels[pick]) / len(pick)
-            g = {"c": z.T @ do, "d": do.sum()}
-            dz = do[:, None] * w["c"]
-            datt = (dz[owner] * h).sum(1)
-            ds = att * (datt - np.add.reduceat(att * datt, starts)[owner])
-            g["a"] = (tv * su).T @ ds
-            dv, du = ds[:, None] * w["a"] * su * (1 - tv**2), ds[:, None] * w["a"] * tv * su * (1 - su)
-            g["v"], g["bv"], g["u"], g["bu"] = h.T @ dv, dv.sum(0), h.T @ du, du.sum(0)
-            dh = (att[:, None] * dz[owner] + dv @ w["v"].T + du @ w["u"].T) * (1 - h**2)
-            g["we"], g["be"] = ((x - w["shift"]) / w["scale"]).T @ dh, dh.sum(0)
-            step += 1
-            rate = RATE * (1 - 0.9 * epoch / epochs)
-            for k in learnt:
-                gk = g[k] + DECAY * w[k]
-                m1[k] = 0.9 * m1[k] + 0.1 * gk
-                m2[k] = 0.999 * m2[k] + 0.001 * gk**2
-                w[k] -= rate * (m1[k] / (1 - 0.9**step)) / (np.sqrt(m2[k] / (1 - 0.999**step)) + 1e-8)
+    order = np.empty(0, np.int64)
+    for step in range(1, STEPS + 1 if bags else 1):
+        while len(order) < BATCH:  # a new pass through the bags, in a new order
+            order = np.r_[order, rng.permutation(len(bags))]
+        pick, order = order[:BATCH], order[BATCH:]
+        g = gradients(model, [bags[i] for i in pick], labels[pick])
+        rate = RATE * (1 - 0.9 * step / STEPS)
+        for k in learnt:
+            gk = g[k] + DECAY * w[k]
+            m1[k] = 0.9 * m1[k] + 0.1 * gk
+            m2[k] = 0.999 * m2[k] + 0.001 * gk**2
+            w[k] -= rate * (m1[k] / (1 - 0.9**step)) / (np.sqrt(m2[k] / (1 - 0.999**step)) + 1e-8)
     return model
 
 
@@ -190,16 +199,17 @@ def training_bags(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> t
     marks = marks.groupBy("doc_id").agg(F.min("quality").alias("quality")).withColumn("h", F.xxhash64("doc_id"))
     chosen = marks.orderBy("h", "doc_id").limit(sample)
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # bounded by the sample
+    # A doc_id may stand on several rows: the text of least hash counts, so that no more than the sample comes back.
+    rows = rows.withColumn("t", F.xxhash64("text"))
+    one = rows.groupBy("doc_id").agg(F.min("t").alias("t"))
+    rows = rows.join(F.broadcast(one), ["doc_id", "t"]).dropDuplicates(["doc_id", "t"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Words()
         for b in batches:
             bags = []
             for t in b.column(0):
-                x = passages(t.as_py() or "", known)
-                if len(x) > SAMPLE_PASSAGES:
-                    x = x[np.linspace(0, len(x) - 1, SAMPLE_PASSAGES).astype(int)]
-                bags.append(x.tobytes())
+                bags.append(passages(t.as_py() or "", known).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(bags, pa.binary()), b.column(1), b.column(2)], ["bag", "quality", "h"])
 
     got = rows.select("text", F.col("quality").cast("int").alias("quality"), "h").mapInArrow(run, "bag binary, quality int, h long").collect()

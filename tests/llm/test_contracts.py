@@ -152,6 +152,56 @@ def test_op3_learns_and_scores(spark, docs, none):
     assert mil_quality.quality_query(none, labels).count() == 0
 
 
+def plain_score(w, bag):
+    """The model's formula with loops."""
+    from math import exp, tanh
+
+    line = lambda m, b, x: [sum(x[i] * m[i][j] for i in range(len(x))) + b[j] for j in range(len(b))]
+    logistic = lambda t: 1 / (1 + exp(-t))
+    hs = [[tanh(t) for t in line(w["we"], w["be"], [(v - s) / c for v, s, c in zip(x, w["shift"], w["scale"], strict=True)])] for x in bag]
+    marks = [sum(a * tanh(tv) * logistic(tu) for a, tv, tu in zip(w["a"], line(w["v"], w["bv"], h), line(w["u"], w["bu"], h), strict=True)) for h in hs]
+    total = sum(exp(m) for m in marks)
+    z = [sum(exp(m) / total * h[j] for m, h in zip(marks, hs, strict=True)) for j in range(len(w["c"]))]
+    return logistic(sum(a * b for a, b in zip(z, w["c"], strict=True)) + float(w["d"]))
+
+
+def test_op3_forward_and_gradients():
+    rng = np.random.default_rng(4)
+    bags = [rng.normal(0, 1, (n, mil_quality.INPUT)) for n in (1, 3, 7, 2)]
+    y = np.array([1.0, 0, 1, 0])
+    w = mil_quality.start(np.concatenate(bags))
+    w |= {k: rng.normal(0, 0.5, w[k].shape) for k in ("be", "bv", "bu", "c", "d", "a")}
+    model = mil_quality.Model(w)
+    assert np.allclose(model.score(bags), [plain_score(w, b) for b in bags], atol=1e-12)
+    g = mil_quality.gradients(model, bags, y)
+
+    def loss():
+        p = model.score(bags)
+        return -np.mean(y * np.log(p) + (1 - y) * np.log(1 - p))
+
+    for k in g:
+        flat = np.atleast_1d(w[k]).reshape(-1)
+        for i in rng.choice(len(flat), min(5, len(flat)), replace=False):
+            old, eps, out = w[k], 1e-5, []
+            for side in (eps, -eps):
+                moved = np.atleast_1d(old).astype(float).copy().reshape(-1)
+                moved[i] += side
+                w[k] = moved.reshape(np.shape(old))
+                out.append(loss())
+            w[k] = old
+            assert abs((out[0] - out[1]) / (2 * eps) - np.atleast_1d(g[k]).reshape(-1)[i]) < 1e-7, k
+
+
+def test_op3_repeated_ids_send_one_text_each(spark):
+    rows = [(i % 8, f"text {i} " * (200 * (i % 5) + 1)) for i in range(400)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame([(i, i % 2) for i in range(8)], "doc_id long, quality int")
+    bags, y = mil_quality.training_bags(d, marks)
+    assert len(bags) == len(y) == sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in range(8))
+    long = spark.createDataFrame([(1, "word " * 64 * 300)], "doc_id long, text string")
+    assert [len(b) for b in mil_quality.training_bags(long, marks)[0]] == [300]
+
+
 def test_op3_passages_cover_the_whole_text():
     k = mil_quality.Words(most=50)
     x = mil_quality.passages(" ".join(f"w{i}" for i in range(200)), k)
