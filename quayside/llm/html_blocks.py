@@ -31,7 +31,11 @@ PATH_BUCKETS, WORD_BUCKETS = 2048, 1024
 PATH_DIM, WORD_DIM, MEASURES, HIDDEN = 24, 8, 4, 16
 INPUT = PATH_DIM + WORD_DIM + MEASURES
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe)\b[^>]*(?:>.*?(?:</\1\s*>|\Z)|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)(?:>|\Z)", re.S | re.I)
+#: What may stand in a tag after its name: a quoted value may hold a closing bracket.
+_IN_TAG = r"(?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+"
+#: What may stand in a tag after its name: a quoted value may hold a closing bracket.
+_IN_TAG = r"(?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+"
+_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe)\b{_IN_TAG}(?:>.*?(?:</\1\s*>|\Z)|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)({_IN_TAG})(?:>|\Z)", re.S | re.I)
 _ATTR = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _NAME = re.compile(r"[a-zA-Z]+")
 #: Elements that never hold text.

@@ -1,7 +1,8 @@
 """Trains the block labeller from generated pages: python -m quayside.llm.html_training
 
-Pages are drawn from many templates of invented words; what each block is follows from where the generator put it. Run
-again with the same seed, it gives the same weights."""
+Pages are drawn from many templates of invented words; what each block is follows from where the generator put it. Half of all parts,
+articles too, have no telling tag or class, some pages are laid out in tables, and comments may stand inside the article, so the words,
+shapes and order of blocks must tell. Run again with the same seed, it gives the same weights."""
 
 from __future__ import annotations
 
@@ -11,7 +12,7 @@ import numpy as np
 
 from quayside.llm.html_blocks import HIDDEN, INPUT, MEASURES, PATH_BUCKETS, PATH_DIM, WEIGHTS, WORD_BUCKETS, WORD_DIM, Labeller, _path_keys, _word_bucket, blocks
 
-SEED, PAGES, EPOCHS, BATCH, RATE = 11, 3000, 4, 32, 0.01
+SEED, PAGES, EPOCHS, BATCH, RATE = 11, 3500, 4, 32, 0.01
 
 #: How pages of the web name their parts.
 MAIN = ["article", "main", "div.content", "div.article-body", "div.post", "div.entry-content", "div#content", "section.story", "div.post-content", "main#main"]
@@ -31,7 +32,7 @@ TALK = {
     "notice": "cookies accept we use this site agree policy notice subscribe".split(),
     "advert": "buy now sponsored offer sale free discount".split(),
     "form": "search name e-mail password submit login send".split(),
-    "comments": "reply says posted comment thanks ago wrote".split(),
+    "comments": "reply says posted comment thanks ago wrote agree post article comments".split(),
     "side": "related popular share tweet latest more".split(),
     "header": "menu login skip to".split(),
 }
@@ -55,35 +56,58 @@ class Pages:
         attr = "" if not rest else f' class="{rest}"' if "." in spec else f' id="{rest}"'
         return f"<{tag}{attr}>{inner}</{tag}>"
 
-    def noise(self, kind: str) -> str:
+    def unnamed(self, *tags: str) -> str:
+        """A tag without a class, or with one that tells nothing."""
+        return self.r.choice(tags) + self.r.choice(["", ".", "#"]).replace(".", "." + self.words(1).strip(",.#%")).replace("#", "#" + self.words(1).strip(",.#%"))
+
+    def noise(self, kind: str, bare: float = 0) -> str:
+        """bare: how often nothing stands around it."""
         r = self.r
-        talk = lambda: " ".join(r.choice(TALK[kind]) for _ in range(r.randint(0, 3)))
+        named = r.random() < 0.5
+        # Where no class tells what a part is, its words do.
+        talk = lambda: " ".join(r.choice(TALK[kind]) for _ in range(r.randint(0 if named else 1, 3)))
         items = [f"{talk()} {self.words(r.randint(1, 12 if kind not in ('menu', 'form') else 3))}".strip() for _ in range(r.randint(1, 6))]
         mark = "\x01"
         if kind == "comments":
             items += [self.sentence(r.randint(5, 60)) for _ in range(r.randint(0, 4))]
             r.shuffle(items)
+            if r.random() < 0.4:  # a name and a few words in one line
+                items = [f"{self.words(1).strip(',.#%')}: {self.words(r.randint(1, 6))} {talk()} {self.words(r.randint(1, 6))}" for _ in items]
+            elif not named:  # each reader's name before the words
+                items = [y for x in items for y in (f"{self.words(r.randint(1, 2))} {r.choice(['says', 'wrote', '·', 'posted'])} {r.randint(1, 30)} {r.choice(['days ago', 'hours ago', 'May 2021', ':'])}", x)]
+            if r.random() < 0.4:  # a name and a few words in one line
+                items = [f"{self.words(1).strip(',.#%')}: {self.words(r.randint(1, 6))} {talk()} {self.words(r.randint(1, 6))}" for _ in items]
+            elif not named:  # each reader's name before the words
+                items = [y for x in items for y in (f"{self.words(r.randint(1, 2))} {r.choice(['says', 'wrote', '·', 'posted'])} {r.randint(1, 30)} {r.choice(['days ago', 'hours ago', 'May 2021', ':'])}", x)]
         body = ""
         style = r.randint(0, 3)
-        if kind == "menu" or style == 0:
+        if kind in ("menu", "footer", "header") and r.random() < 0.5:  # links in a row
+            body = mark + r.choice([" ", " | ", " · "]).join(f'<a href="/{i}">{x}</a>' for i, x in enumerate(items))
+        elif kind == "menu" or style == 0:
             body = "<ul>" + "".join(f'<li><a href="/{i}">{mark}{x}</a></li>' for i, x in enumerate(items)) + "</ul>"
         elif kind == "form":
             body = "".join(f"<label>{mark}{x}</label><input name=x>" for x in items) + f"<button>{mark}{self.words(1)}</button>"
         elif style == 1:
             body = "".join(f"<p>{mark}{x}</p>" for x in items)
         elif style == 2:
-            body = (f"<h3>{mark}{self.words(2)}</h3>" if r.random() < 0.5 else "") + "".join(f"<div>{mark}{x}</div>" for x in items)
+            head = self.words(2) if named else f"{r.choice(['', '3 ', '12 '])}{r.choice(TALK[kind]).capitalize()}"
+            body = (f"<h3>{mark}{head}</h3>" if r.random() < 0.5 else "") + "".join(f"<div>{mark}{x}</div>" for x in items)
         else:
             body = mark + " ".join(items)
-        return self.wrap(r.choice(NOISE[kind]), body)
+        if kind == "comments" and style in (1, 3) and not named:
+            body = f"<h2>{mark}{r.choice(['Comments', 'Reader comments', 'Responses', 'Discussion', '5 comments'])}</h2>" + body
+        if r.random() < bare:
+            return body
+        return self.wrap(r.choice(NOISE[kind]) if named else self.unnamed("div", "div", "section", "ul" if kind == "menu" else "div"), body)
 
-    def article(self) -> str:
+    def article(self, bare: float = 0.05) -> str:
+        """bare: how often nothing stands around it."""
         r, m = self.r, "\x02"
         out = [f"<h1>{m}{self.words(r.randint(2, 10))}</h1>"] if r.random() < 0.8 else []
         for _ in range(r.choice([1, 2, 3, 5, 8, 13, 25])):
             kind = r.random()
             if kind < 0.75:
-                s = self.sentence(r.choice([1, 3, 8, 20, 60, 150]))
+                s = self.sentence(r.choice([1, 3, 8, 20, 40, 60, 150]))
                 if r.random() < 0.15:
                     s = f"<b>{s}<br>"
                 elif r.random() < 0.15:
@@ -100,27 +124,40 @@ class Pages:
             else:
                 out.append(self.noise(r.choice(["advert", "side", "notice"])))
         body = "".join(out)
-        if r.random() < 0.15:
+        if r.random() < 0.3:
             body += self.noise("comments")
         specs = [r.choice(MAIN)] if r.random() < 0.7 else ["main", r.choice(MAIN)]
-        if r.random() < 0.4:
+        kind = r.random()
+        if kind < 0.25:
             specs = ["article"]
-        for s in reversed(specs):
+        elif kind < 0.75:
+            specs = [self.unnamed("div", "div", "section", "span")] * r.randint(1, 2)
+        for s in reversed([] if r.random() < bare else specs):
             body = self.wrap(s, body)
         return body
 
     def page(self) -> str:
         r = self.r
-        some = lambda kinds, p: [self.noise(k) for k in kinds if r.random() < p]
+        some = lambda kinds, p, bare=0: [self.noise(k, bare) for k in kinds if r.random() < p]
         top = some(["notice", "header", "menu", "advert", "form", "menu", "advert"], 0.45)
         low = some(["comments", "side", "advert", "form", "menu", "notice", "footer"], 0.4)
         if r.random() < 0.5:
             top.append(f'<div class="ad">\x01{self.sentence(r.randint(3, 20))}</div>')
         if r.random() < 0.6:
             low.append(f"<footer>\x01&copy; {self.words(1)}.example &middot; {self.sentence(r.randint(2, 12))}</footer>")
-        inner = "".join(top) + (self.article() if r.random() < 0.98 else "") + "".join(low)
+        in_table = r.random() < 0.2
+        main = self.article(0.7 if in_table else 0.05) if r.random() < 0.98 else ""
+        if r.random() < 0.2:  # little or nothing but the article
+            top, low = top[: r.randint(0, 1)], low[: r.randint(0, 1)]
+        if in_table:
+            cells = "".join(f"<td>{x}</td>" for x in [*some(["menu", "side"], 0.6, 0.6), main, *some(["side", "advert"], 0.4, 0.3)])
+            inner = "<table>" + "".join(f"<tr><td>{x}</td></tr>" for x in top) + f"<tr>{cells}</tr>" + "".join(f"<tr><td>{x}</td></tr>" for x in low) + "</table>"
+        else:
+            inner = "".join(top) + main + "".join(low)
         if r.random() < 0.3:
             inner = self.wrap(r.choice(["div.wrapper", "div.container", "div#page"]), inner)
+        if r.random() < 0.3:  # no head
+            return f"<html><body>{inner}</body></html>" if r.random() < 0.5 else inner
         return f"<!DOCTYPE html><html><head><title>\x01{self.words(r.randint(2, 9))}</title><style>p{{}}</style></head><body>{inner}</body></html>"
 
 

@@ -407,6 +407,28 @@ def test_op5_real_pages_hold_their_articles(spark):
         assert got[i] == " ".join(html.unescape(body).split())
 
 
+def test_op5_pages_without_telling_names():
+    """Articles, menus and comments known by their words, shapes and places only; a closing bracket inside quotes."""
+    p = "The river rose slowly through the night and by the morning the fields beyond the village were under water. People carried what they could to the church on the hill, where the doors had been opened to everyone who came."
+    q = "Nobody had seen a flood of this size since the old bridge was built, and the council met in the school to decide what should be done first. Boats were sent for from the harbour, and the road to the north was closed until the end of the week."
+    m = html_blocks.load_labeller()
+    pages = {
+        f"<html><body><div><p>{p}</p><p>{q}</p></div></body></html>": f"{p} {q}",
+        f'<html><body><article><p title="a > b">{p}</p></article></body></html>': p,
+        f'<html><body><article><h1>Flood</h1><p>{p}</p><p>{q}</p><section class="zzq"><h3>Comments</h3><p>Bob: Great article, thanks</p><p>Ann: I agree with this post</p></section></article></body></html>': f"Flood {p} {q}",
+    }
+    assert m.main_text(list(pages)) == list(pages.values())
+    for tag, rest in (('<p title="a > b" x=\'>\' y=c>', "t"), ("<p title=it's>", "t"), ('<p a="b>', "t"), ("<p =>", "t")):
+        assert [b[1] for b in html_blocks.blocks(f"{tag}{rest}</p>")] == [rest]
+
+
+@pytest.mark.xfail(reason="a row of plain links alone in a table cell scores 0.57 and is kept")
+def test_op5_menu_in_a_bare_table_cell():
+    p = "The river rose slowly through the night and by the morning the fields beyond the village were under water. People carried what they could to the church on the hill, where the doors had been opened to everyone who came."
+    page = f'<html><body><table><tr><td><a href="/">Home</a> <a href="/n">News</a></td></tr><tr><td><p>{p}</p><p>{p}</p></td></tr></table></body></html>'
+    assert html_blocks.load_labeller().main_text([page]) == [f"{p} {p}"]
+
+
 def test_op5_weights_come_from_the_training_code():
     from quayside.llm import html_training
 
