@@ -6,7 +6,8 @@ import unicodedata
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark import Broadcast
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # Beginnings, endings and whole names that are no destinations.
@@ -51,24 +52,56 @@ def normalized_valid_names(names: Column) -> Column:
     return F.filter(F.transform(names, normalize_name), is_valid_name)
 
 
-def to_ascii(text: str | None) -> str | None:
-    """ASCII upper case; null for null and blank. Letters without a decomposition and outside the table are left out."""
+def other_letters(spark: SparkSession) -> dict[str, str]:
+    """Letters of all other scripts of the basic plane, by the transliteration rules of the ICU library inside Spark; Han syllables end in a space."""
+    own = [chr(c) for c in range(0x80, 0xFFFF) if unicodedata.category(chr(c)) in ("Lu", "Ll", "Lo", "Lt", "Lm", "Nd", "Pd", "Pi", "Pf") and chr(c) not in LETTERS]
+    icu = spark.sparkContext._jvm.com.ibm.icu.text.Transliterator.getInstance("Any-Latin; Latin-ASCII")
+    found = icu.transliterate("\n".join(own)).split("\n")
+    out = {}
+    for c, x in zip(own, found, strict=True):
+        x = "".join(d for d in unicodedata.normalize("NFKD", x) if d.isascii()).upper()
+        if x:
+            out[c] = x + " " if unicodedata.name(c, "").startswith("CJK UNIFIED") else x
+    return out
+
+
+def to_ascii(text: str | None, more: dict[str, str] | None = None) -> str | None:
+    """ASCII upper case; null for null and blank. more: letters beyond the table; letters in neither and without a decomposition are left out."""
     if text is None or not text.strip():
         return None
+    more = more or {}
     out = []
     for c in unicodedata.normalize("NFC", text.strip()).upper():
         if c in LETTERS:
             out.append(LETTERS[c])
             continue
-        for d in unicodedata.normalize("NFKD", c):
-            out.append(d if d.isascii() else "" if unicodedata.combining(d) else LETTERS.get(d, ""))
-    return "".join(out)
+        plain = unicodedata.normalize("NFKD", c)
+        if not any(d.isascii() or d in LETTERS for d in plain) and c in more:
+            out.append(more[c])
+            continue
+        for d in plain:
+            out.append(d if d.isascii() else "" if unicodedata.combining(d) else LETTERS.get(d) or more.get(d, ""))
+    return "".join(out).strip()
+
+
+_SENT: dict[str, Broadcast] = {}
+
+
+def _letters() -> Broadcast:
+    """other_letters(), sent once for each application: some 30,000 short strings, whatever the data."""
+    spark = SparkSession.getActiveSession()
+    app = spark.sparkContext.applicationId
+    if app not in _SENT:
+        _SENT[app] = spark.sparkContext.broadcast(other_letters(spark))
+    return _SENT[app]
 
 
 def normalize_label(label: Column) -> Column:
+    sent = _letters()
+
     @F.pandas_udf("string")
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in parts:
-            yield s.map(to_ascii)
+            yield s.map(lambda x: to_ascii(x, sent.value))
 
     return run(label)

@@ -457,7 +457,7 @@ def _(spark, sf_dir):
 
 # ---- names ------------------------------------------------------------------------------------------------------------------
 
-_NAMES_SQL = """raw AS (SELECT doc_id, trim(substr(text, 1, 24)) || CASE doc_id % 7 WHEN 0 THEN ' & sons 12' WHEN 1 THEN ' fishing' WHEN 2 THEN ' 99 for order' ELSE '' END AS name FROM documents
+_NAMES_SQL = """raw AS (SELECT doc_id, trim(text) || CASE doc_id % 7 WHEN 0 THEN ' & sons 12' WHEN 1 THEN ' fishing' WHEN 2 THEN ' 99 for order' ELSE '' END AS name FROM documents
   UNION ALL SELECT -1 - n_nationkey, n_name FROM nation UNION ALL SELECT -100, 'B 12 & A' UNION ALL SELECT -101, 'sar boat' UNION ALL SELECT -102, 'a' UNION ALL SELECT -103, 'no destination'),
 nrm AS (SELECT doc_id, trim(regexp_replace(replace(replace(upper(name), 'ẞ', 'SS'), '&', ' AND '), '[^\\p{L}\\p{N}_]+', ' ', 'g')) AS name FROM raw)"""
 _VALID_SQL = (
@@ -467,7 +467,7 @@ _VALID_SQL = (
 
 def _raw_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = F.col("doc_id") % 7
-    d = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.concat(F.trim(F.substring("text", 1, 24)), F.when(m == 0, " & sons 12").when(m == 1, " fishing").when(m == 2, " 99 for order").otherwise("")).alias("name"))
+    d = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.concat(F.trim(F.col("text")), F.when(m == 0, " & sons 12").when(m == 1, " fishing").when(m == 2, " 99 for order").otherwise("")).alias("name"))
     n = spark.read.parquet(f"{sf_dir}/nation.parquet").select((-1 - F.col("n_nationkey")).cast("long").alias("doc_id"), F.col("n_name").alias("name"))
     own = spark.createDataFrame([(-100, "B 12 & A"), (-101, "sar boat"), (-102, "a"), (-103, "no destination")], "doc_id long, name string")
     return d.unionByName(n).unionByName(own)

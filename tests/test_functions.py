@@ -79,3 +79,13 @@ def test_mask(spark):
     row = ids.mask_row(F.array(*map(F.lit, bits)))
     assert one(spark, *[ids.mask_hit(row, F.lit(i)) for i in range(5)]) == tuple(bits)
     assert one(spark, ids.mask_lookup(row, F.lit(0.0), F.lit(-100.0), 10, 5), ids.mask_lookup(row, F.lit(91.0), F.lit(-100.0), 10, 5)) == (True, False)
+
+
+def test_labels_of_other_scripts_are_not_lost(spark):
+    """Transliterated by character; exact spellings are ICU's, only their being there and their repeatability matter for most."""
+    want = {"上海": "SHANG HAI", "한국": "HANGUG", "Київ": "KIIV", "Спецморнефтепорт": "SPETSMORNEFTEPORT", "Tromsø": "TROMSO", " ": None, None: None}
+    rows = [*want, "القاهرة", "กรุงเทพ", "חיפה"]
+    d = spark.createDataFrame([(x,) for x in rows], "x string")
+    got = {r.x: r.y for r in d.select("x", names.normalize_label(F.col("x")).alias("y")).collect()}
+    assert {k: got[k] for k in want} == want
+    assert all(got[x] and got[x].isascii() for x in rows[-3:])
