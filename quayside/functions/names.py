@@ -59,7 +59,7 @@ def other_letters(spark: SparkSession) -> dict[str, str]:
     found = icu.transliterate("\n".join(own)).split("\n")
     out = {}
     for c, x in zip(own, found, strict=True):
-        x = "".join(d for d in unicodedata.normalize("NFKD", x) if d.isascii()).upper()
+        x = "".join(d for d in unicodedata.normalize("NFKD", x) if d.isascii() and d != "~").upper()  # ~ marks small kana
         if x:
             out[c] = x + " " if unicodedata.name(c, "").startswith("CJK UNIFIED") else x
     return out

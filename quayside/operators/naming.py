@@ -9,7 +9,7 @@ from quayside.config import ANCHORAGE_LEVEL, VISIT_LEVEL, Config
 from quayside.functions.geo import haversine_km
 from quayside.functions.names import normalize_label
 from quayside.functions.s2 import cell_key, neighbour_keys, s2_token
-from quayside.operators.polygons import first_polygon
+from quayside.operators.polygons import with_polygon
 
 
 def nearest_listed_port(anchorages: DataFrame, ports: DataFrame, config: Config) -> DataFrame:
@@ -39,21 +39,22 @@ def add_labels(anchorages: DataFrame, ports: DataFrame, config: Config) -> DataF
 
 def add_countries(named: DataFrame, polygons: DataFrame, config: Config) -> DataFrame:
     """iso3 from polygons where there is none; Chinese labels not from the override list become cell ids."""
-    found = first_polygon(named.where(F.col("iso3").isNull()), polygons).select("s2id", F.nullif("iso3", F.lit("-")).alias("_iso3")).distinct()
-    d = named.join(found, "s2id", "left").withColumn("iso3", F.coalesce("iso3", "_iso3")).drop("_iso3")
+    d = with_polygon(named, polygons, "_p", F.col("iso3").isNull()).withColumn("iso3", F.coalesce("iso3", F.nullif(F.col("_p.iso3"), F.lit("-")))).drop("_p")
     china = F.coalesce((F.col("iso3") == "CHN") & (F.col("label_source") != config.override_source), F.lit(False))
     return d.withColumns({"label": F.when(china, F.col("s2id")).otherwise(F.col("label")), "label_source": F.when(china, "china_s2id_override").otherwise(F.col("label_source"))})
 
 
-def with_overrides(named: DataFrame, overrides: DataFrame, config: Config) -> DataFrame:
+def with_overrides(named: DataFrame, overrides: DataFrame, config: Config, used: DataFrame | None = None) -> DataFrame:
     """Adds the override rows whose cell no anchorage has, and drops what the override list marks REMOVE.
 
-    overrides: iso3, label, sublabel, lat, lon. Their iso3 is taken as it stands."""
-    o = overrides.withColumn("s2id", s2_token(F.col("lat"), F.col("lon"), ANCHORAGE_LEVEL)).join(named.select("s2id").distinct(), "s2id", "left_anti")
+    overrides: iso3, label, sublabel, lat, lon. Their iso3 is taken as it stands. used: a table with the s2id of all anchorages,
+    so that the named ones are not worked out twice."""
+    taken = (named if used is None else used).select("s2id")
+    o = overrides.withColumn("s2id", s2_token(F.col("lat"), F.col("lon"), ANCHORAGE_LEVEL)).join(taken, "s2id", "left_anti")
     o = o.select("s2id", "lat", "lon", normalize_label(F.col("label")).alias("label"), normalize_label(F.col("sublabel")).alias("sublabel"), "iso3", F.lit(config.override_source).alias("label_source"))
     gone = F.col("label").eqNullSafe(F.lit("REMOVE")) & F.col("label_source").eqNullSafe(F.lit(config.override_source))
     return named.unionByName(o, allowMissingColumns=True).where(~gone)
 
 
 def name_anchorages(anchorages: DataFrame, ports: DataFrame, overrides: DataFrame, polygons: DataFrame, config: Config) -> DataFrame:
-    return with_overrides(add_countries(add_labels(anchorages, ports, config), polygons, config), overrides, config)
+    return with_overrides(add_countries(add_labels(anchorages, ports, config), polygons, config), overrides, config, anchorages)

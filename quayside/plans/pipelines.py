@@ -31,7 +31,7 @@ def anchorages(positions: DataFrame, segments: DataFrame, fishing: DataFrame, co
     return find_anchorages(cell_marks(number_and_measure(greedy_thin(r), config)), fishing, config.min_vessels)
 
 
-def thin_port_messages(positions: DataFrame, named: DataFrame, config: Config, start: dt.date, end: dt.date, ssvids: DataFrame | list[str] | None = None) -> DataFrame:
+def thin_port_messages(positions: DataFrame, named: DataFrame, config: Config, start: dt.date, end: dt.date, ssvids: DataFrame | list[str] | str | None = None) -> DataFrame:
     """Positions with the nearest anchorage, thinned to those that port events depend on. The nearest join comes before the
     windows, so these share one exchange on segment and day."""
     r = create_tagged_records_by_day(create_records(thinning_positions(positions, start, end, ssvids)))

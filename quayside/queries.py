@@ -460,9 +460,11 @@ def _(spark, sf_dir):
 _NAMES_SQL = """raw AS (SELECT doc_id, trim(text) || CASE doc_id % 7 WHEN 0 THEN ' & sons 12' WHEN 1 THEN ' fishing' WHEN 2 THEN ' 99 for order' ELSE '' END AS name FROM documents
   UNION ALL SELECT -1 - n_nationkey, n_name FROM nation UNION ALL SELECT -100, 'B 12 & A' UNION ALL SELECT -101, 'sar boat' UNION ALL SELECT -102, 'a' UNION ALL SELECT -103, 'no destination'),
 nrm AS (SELECT doc_id, trim(regexp_replace(replace(replace(upper(name), 'ẞ', 'SS'), '&', ' AND '), '[^\\p{L}\\p{N}_]+', ' ', 'g')) AS name FROM raw)"""
-_VALID_SQL = (
-    "length(n) > 1 AND NOT regexp_matches(n, '^(" + "|".join(names.BAD_PREFIXES) + ")') AND NOT regexp_matches(n, '(" + "|".join(dict.fromkeys(names.BAD_SUFFIXES)) + ")$') AND n NOT IN (" + ", ".join(f"'{x}'" for x in dict.fromkeys(names.BAD_NAMES)) + ")"
-)
+def _valid_sql(n: str) -> str:
+    """Whether a normalised name, with # for its numbers, is a destination."""
+    bad = (f"regexp_matches({n}, '^({'|'.join(names.BAD_PREFIXES)})')", f"regexp_matches({n}, '({'|'.join(dict.fromkeys(names.BAD_SUFFIXES))})$')")
+    listed = ", ".join(f"'{x}'" for x in dict.fromkeys(names.BAD_NAMES))
+    return f"length({n}) > 1 AND NOT {bad[0]} AND NOT {bad[1]} AND {n} NOT IN ({listed})"
 
 
 def _raw_names(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -478,7 +480,7 @@ def _(spark, sf_dir):
     return _raw_names(spark, sf_dir).select("doc_id", names.normalize_name(F.col("name")).alias("name"))
 
 
-@query("f5_valid_names", f"WITH {_NAMES_SQL} SELECT doc_id, {_VALID_SQL} AS valid FROM (SELECT doc_id, regexp_replace(name, '\\p{{Nd}}+', '#', 'g') AS n FROM nrm)")
+@query("f5_valid_names", f"WITH {_NAMES_SQL} SELECT doc_id, {_valid_sql('n')} AS valid FROM (SELECT doc_id, regexp_replace(name, '\\p{{Nd}}+', '#', 'g') AS n FROM nrm)")
 def _(spark, sf_dir):
     return _raw_names(spark, sf_dir).select("doc_id", names.is_valid_name(names.normalize_name(F.col("name"))).alias("valid"))
 
@@ -542,15 +544,6 @@ def _overrides(spark: SparkSession) -> DataFrame:
     return ports(spark).select(F.lit("BBB").alias("iso3"), F.when(k % 4 == 0, "REMOVE").otherwise(F.concat(F.lit("new "), k.cast("string"))).alias("label"), F.lit("").alias("sublabel"), F.when(k % 2 == 0, F.col("lat")).otherwise(F.col("lat") + 1).alias("lat"), "lon")
 
 
-@query(
-    "j10_overrides",
-    f"""WITH RECURSIVE {NAMED_SQL}, ov0 AS (SELECT CASE WHEN k % 4 = 0 THEN 'REMOVE' ELSE 'NEW ' || k END AS label, CASE WHEN k % 2 = 0 THEN lat ELSE lat + 1 END AS lat, lon FROM prt), {s2_sql("ov0", "lat", "lon", 14, "v")}
-SELECT s2id, label, iso3, label_source FROM chn WHERE NOT (label = 'REMOVE' AND label_source = 'anchorage_overrides') UNION ALL SELECT v_token, label, 'BBB', 'anchorage_overrides' FROM v_tok WHERE v_token NOT IN (SELECT s2id FROM chn) AND label <> 'REMOVE'""",
-)
-def _(spark, sf_dir):
-    return naming.name_anchorages(_anchorages(spark, sf_dir), _port_lists(spark), _overrides(spark), _polygons(spark), CFG).select("s2id", "label", "iso3", "label_source")
-
-
 @query("j12_at_dock", f"WITH RECURSIVE {NAMED_SQL} SELECT l.s2id, EXISTS (SELECT 1 FROM pol p WHERE p.file_order < 5 AND l.lon BETWEEN p.x0 AND p.x1 AND l.lat BETWEEN p.y0 AND p.y1) AS at_dock FROM lab l")
 def _(spark, sf_dir):
     return polygons.at_dock(_anchorages(spark, sf_dir), _polygons(spark).where("file_order < 5")).select("s2id", "at_dock")
@@ -579,8 +572,7 @@ def _(spark, sf_dir):
 
 @query("k1_partitioned_roundtrip", f"WITH {TRACKS_SQL} SELECT seg_id AS identifier, epoch_us(ts) AS timestamp, CAST(day AS VARCHAR) AS date FROM trk")
 def _(spark, sf_dir):
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    path = f"{root.rstrip('/')}/quayside-k1-{uuid.uuid4().hex}"
+    path = _path(spark, "k1")
     sinks.write_thinned(_thinned_like(spark, sf_dir), path)
     return spark.read.parquet(path).select("identifier", us("timestamp"), F.col("date").cast("string").alias("date"))
 
@@ -631,3 +623,192 @@ def _(spark, sf_dir):
     fishing = spark.read.parquet(f"{sf_dir}/events.parquet").where("user_id % 3 = 0").select(F.col("user_id").cast("string").alias("ssvid"))
     a = pipelines.anchorages(tracks(spark, sf_dir), segments(spark, sf_dir), fishing, SPARSE, START, END)
     return _rounded(a)
+
+
+# ---- whole naming, stored tables and files ----------------------------------------------------------------------------------
+
+
+def _path(spark: SparkSession, name: str) -> str:
+    """A new place in the folder that driver and executors share."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/quayside-{name}-{uuid.uuid4().hex}"
+
+
+def _stored_anchorages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table that the first entry point leaves for the second one."""
+    path = _path(spark, "anchorages")
+    sinks.write_table(_anchorages(spark, sf_dir), path)
+    return spark.read.parquet(path)
+
+
+def _named(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pipelines.name_anchorages(_stored_anchorages(spark, sf_dir), _port_lists(spark), _overrides(spark), _polygons(spark), CFG)
+
+
+OVERRIDES_SQL = f"""ov0 AS (SELECT CASE WHEN k % 4 = 0 THEN 'REMOVE' ELSE 'NEW ' || k END AS label, CASE WHEN k % 2 = 0 THEN lat ELSE lat + 1 END AS lat, lon FROM prt), {s2_sql("ov0", "lat", "lon", 14, "v")}"""
+
+
+@query(
+    "j10_overrides",
+    f"""WITH RECURSIVE {NAMED_SQL}, {OVERRIDES_SQL}
+SELECT s2id, label, iso3, label_source FROM chn WHERE NOT (label = 'REMOVE' AND label_source = 'anchorage_overrides') UNION ALL SELECT v_token, label, 'BBB', 'anchorage_overrides' FROM v_tok WHERE v_token NOT IN (SELECT s2id FROM chn) AND label <> 'REMOVE'""",
+)
+def _(spark, sf_dir):
+    return _named(spark, sf_dir).select("s2id", "label", "iso3", "label_source")
+
+
+@query(
+    "e2_name_anchorages",
+    f"""WITH RECURSIVE {NAMED_SQL}, {OVERRIDES_SQL}
+SELECT s2id, a.lat, a.lon, c.label, c.sublabel, c.iso3, c.label_source, total_visits, a.drift_radius, a.top_destination, ns AS unique_stationary_ssvid, nf AS unique_stationary_fishing_ssvid, na AS unique_active_ssvid, nt AS unique_total_ssvid, da AS active_ssvid_days, round(ds, 6) AS stationary_ssvid_days, round(df, 6) AS stationary_fishing_ssvid_days
+FROM chn c JOIN anc a USING (s2id) WHERE NOT (c.label = 'REMOVE' AND c.label_source = 'anchorage_overrides')
+UNION ALL SELECT v_token, round(lat, 9), round(lon, 9), label, NULL, 'BBB', 'anchorage_overrides', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM v_tok WHERE v_token NOT IN (SELECT s2id FROM chn) AND label <> 'REMOVE'""",
+)
+def _(spark, sf_dir):
+    return _rounded(_named(spark, sf_dir))
+
+
+#: Two shapes on a grid of half degrees: a notched block with a hole, and two blocks of one polygon, one of them in the hole.
+_RINGS = (
+    (0, "AAA", ((-60.0, -40.0), (60.0, -40.0), (60.0, 40.0), (20.0, 40.0), (20.0, 0.0), (0.0, 10.0), (-20.0, 40.0), (-60.0, 40.0), (-60.0, -40.0))),
+    (0, "AAA", ((-50.0, -30.0), (-30.0, -30.0), (-30.0, -10.0), (-50.0, -10.0), (-50.0, -30.0))),
+    (1, "BBB", ((-45.0, -25.0), (-35.0, -25.0), (-35.0, -15.0), (-45.0, -15.0), (-45.0, -25.0))),
+    (1, "BBB", ((50.0, 30.0), (120.0, 30.0), (85.0, 65.0), (50.0, 30.0))),
+)
+_EDGES_SQL = ", ".join(f"({n}, '{iso}', {a[0]}::DOUBLE, {a[1]}::DOUBLE, {b[0]}::DOUBLE, {b[1]}::DOUBLE)" for n, iso, ring in _RINGS for a, b in zip(ring, ring[1:], strict=False))
+
+
+@query(
+    "j9_shapes",
+    f"""WITH edge(file_order, iso3, x1, y1, x2, y2) AS (VALUES {_EDGES_SQL}),
+pt AS (SELECT event_id, CAST(event_id * 7 % 720 AS DOUBLE) / 2 - 180 AS x, CAST(event_id * 13 % 360 AS DOUBLE) / 2 - 90 AS y FROM events),
+uq AS (SELECT DISTINCT x, y FROM pt),
+inn AS (SELECT x, y, file_order, iso3 FROM uq CROSS JOIN edge GROUP BY ALL
+  HAVING bool_or((x2 - x1) * (y - y1) = (y2 - y1) * (x - x1) AND x BETWEEN least(x1, x2) AND greatest(x1, x2) AND y BETWEEN least(y1, y2) AND greatest(y1, y2))
+      OR sum(CASE WHEN (y1 > y) <> (y2 > y) THEN CASE WHEN x < (x2 - x1) * (y - y1) / (y2 - y1) + x1 THEN 1 ELSE 0 END ELSE 0 END) % 2 = 1)
+SELECT event_id, min(file_order) AS file_order, arg_min(iso3, file_order) AS iso3 FROM pt JOIN inn USING (x, y) GROUP BY event_id""",
+)
+def _(spark, sf_dir):
+    e = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("event_id").alias("s2id"), (F.col("event_id") * 13 % 360 / 2 - 90).alias("lat"), (F.col("event_id") * 7 % 720 / 2 - 180).alias("lon"))
+    shape = lambda n: [[{"lon": x, "lat": y} for x, y in ring] for m, _, ring in _RINGS if m == n]
+    p = spark.createDataFrame([(0, "", "AAA", shape(0)), (1, "BBB", "CCC", shape(1))], "file_order int, iso_ter1 string, iso_sov1 string, rings array<array<struct<lon:double,lat:double>>>")
+    return polygons.first_polygon(e, p).withColumnRenamed("s2id", "event_id")
+
+
+@query("o7_table_scan", f"WITH RECURSIVE {ANCHORAGES_SQL} SELECT s2id, total_visits, nt AS unique_total_ssvid FROM anc")
+def _(spark, sf_dir):
+    return _stored_anchorages(spark, sf_dir).select("s2id", "total_visits", "unique_total_ssvid")
+
+
+@query("o1_query_source", "SELECT user_id, count(*) AS n, round(sum(value), 4) AS total FROM events WHERE event_type <> 'click' GROUP BY user_id")
+def _(spark, sf_dir):
+    return scans.query_source(spark, f"SELECT user_id, count(*) AS n, round(sum(value), 4) AS total FROM parquet.`{sf_dir}/events.parquet` WHERE event_type <> 'click' GROUP BY user_id")
+
+
+@query("o4_filter_text", f"WITH {TRACKS_SQL} SELECT seg_id AS ident, ssvid, epoch_us(ts) AS timestamp FROM trk WHERE ssvid IN (SELECT DISTINCT CAST(user_id AS VARCHAR) FROM events WHERE value > 95)")
+def _(spark, sf_dir):
+    wanted = f"SELECT DISTINCT CAST(user_id AS STRING) FROM parquet.`{sf_dir}/events.parquet` WHERE value > 95"
+    return scans.thinning_positions(tracks(spark, sf_dir), START, END, wanted).select("ident", "ssvid", us("timestamp"))
+
+
+@query("o9_text_lines", "SELECT DISTINCT CAST(user_id AS VARCHAR) AS ssvid FROM events")
+def _(spark, sf_dir):
+    path = _path(spark, "lines")
+    spark.read.parquet(f"{sf_dir}/events.parquet").select(F.concat(F.lit("  "), F.col("user_id").cast("string"), F.lit(" ")).alias("value")).distinct().write.text(path)
+    return scans.lines(spark, path)
+
+
+@query("o10_port_list", f"WITH {TRACKS_SQL}, {PORTS_SQL} SELECT label, sublabel, nullif(iso3, '') AS iso3, round(lat, 6) AS lat, round(lon, 6) AS lon FROM lst")
+def _(spark, sf_dir):
+    path = _path(spark, "ports")
+    _port_lists(spark).coalesce(1).select("iso3", "label", "sublabel", "lat", "lon", F.lit("x").alias("category")).write.csv(path, header=True)
+    return scans.port_list(spark, path).select("label", "sublabel", "iso3", r6("lat"), r6("lon"))
+
+
+@query("o10_override_list", f"WITH {TRACKS_SQL}, {OVERRIDES_SQL} SELECT v_token AS s2id, CASE WHEN label = 'REMOVE' THEN label ELSE lower(label) END AS label FROM v_tok")
+def _(spark, sf_dir):
+    path = _path(spark, "overrides")
+    _overrides(spark).coalesce(1).select("iso3", "label", "sublabel", "lat", "lon", F.lit("").alias("category")).write.csv(path, header=True)
+    return scans.override_list(spark, path).select("s2id", "label")
+
+
+@query("o11_day_chunks", "SELECT CAST(CAST(d AS DATE) AS VARCHAR) AS first, CAST(CAST(least(d + INTERVAL 999 DAY, DATE '2023-12-31') AS DATE) AS VARCHAR) AS last FROM generate_series(DATE '2012-01-01', DATE '2023-12-31', INTERVAL 1000 DAY) t(d)")
+def _(spark, sf_dir):
+    return spark.createDataFrame([(str(a), str(b)) for a, b in scans.day_chunks(dt.date(2012, 1, 1), dt.date(2023, 12, 31))], "first string, last string")
+
+
+@query("o27_mean_or_zero", f"WITH {TRACKS_SQL} SELECT ssvid, round(coalesce(avg(CASE WHEN c % 40 = 0 THEN lat END), 0), 6) AS mean_lat FROM trk GROUP BY ssvid")
+def _(spark, sf_dir):
+    return tracks(spark, sf_dir).groupBy("ssvid").agg(F.round(records.mean_or_zero(F.when(F.col("c") % 40 == 0, F.col("lat"))), 6).alias("mean_lat"))
+
+
+#: Few events are shown, so that the middle of most visits is left out.
+BRIEF = Config(max_events=4)
+
+
+@query(
+    "o30_visit_events",
+    f"""WITH {VISITS_SQL}, sn AS (SELECT *, row_number() OVER (PARTITION BY vessel_id, visit_no ORDER BY seq) AS nth, count(*) OVER (PARTITION BY vessel_id, visit_no) AS n FROM vn)
+SELECT visit_id, row_number() OVER (PARTITION BY s.vessel_id, s.visit_no ORDER BY seq) - 1 AS at, seg_id, ts_us AS timestamp, round(lat, 6) AS lat, round(lon, 6) AS lon, round(vessel_lat, 6) AS vessel_lat, round(vessel_lon, 6) AS vessel_lon, anchorage_id, event_type
+FROM sn s JOIN visits v ON v.vessel_id = s.vessel_id AND v.visit_no = s.visit_no WHERE n <= 4 OR nth <= 2 OR nth > n - 2""",
+)
+def _(spark, sf_dir):
+    v = visits.port_visits(vessel_events(spark, sf_dir), BRIEF).select("visit_id", F.posexplode("events").alias("at", "e")).select("visit_id", F.col("at").cast("long").alias("at"), "e.*")
+    return v.select("visit_id", "at", "seg_id", us("timestamp"), r6("lat"), r6("lon"), r6("vessel_lat"), r6("vessel_lon"), "anchorage_id", "event_type")
+
+
+_ENDS_SQL = "start_us AS start_timestamp, start_anchorage_id, end_us AS end_timestamp, end_anchorage_id"
+
+
+@query("o19_old_fields", f"WITH {VISITS_SQL} SELECT visit_id, vessel_id, {_ENDS_SQL}, n_events, round(start_lat, 6) AS start_lat, round(start_lon, 6) AS start_lon, round(end_lat, 6) AS end_lat, round(end_lon, 6) AS end_lon FROM visits")
+def _(spark, sf_dir):
+    v = visits.drop_new_fields(vessel_visits(spark, sf_dir)).drop("events")
+    return v.withColumns({c: F.unix_micros(c) if c.endswith("timestamp") else F.round(c, 6) for c in v.columns if c.endswith(("timestamp", "lat", "lon"))})
+
+
+@query("k4_visits_by_month", f"WITH {VISITS_SQL} SELECT visit_id, vessel_id, {_ENDS_SQL}, confidence, strftime(make_timestamp(end_us), '%Y-%m') || '-01' AS month FROM visits")
+def _(spark, sf_dir):
+    path = _path(spark, "visits")
+    sinks.write_visits(vessel_visits(spark, sf_dir), path)
+    return spark.read.parquet(path).select("visit_id", "vessel_id", us("start_timestamp"), "start_anchorage_id", us("end_timestamp"), "end_anchorage_id", "confidence", F.col("month").cast("string").alias("month"))
+
+
+@query("k7_voyages_replaced", SQL["e5_voyages_c4"].replace("SELECT coalesce(b.ssvid, a.ssvid) AS ssvid, ", "SELECT ", 1))
+def _(spark, sf_dir):
+    path = _path(spark, "voyages")
+    for c in (2, 4):  # the second run replaces the first one's table
+        sinks.write_table(pipelines.generate_voyages(vessel_visits(spark, sf_dir), c), path)
+    return spark.read.parquet(path).drop("ssvid").withColumns({"trip_start": F.unix_micros("trip_start"), "trip_end": F.unix_micros("trip_end")})
+
+
+_NORM_SQL = "trim(regexp_replace(replace(replace(upper(x), 'ẞ', 'SS'), '&', ' AND '), '[^\\p{L}\\p{N}_]+', ' ', 'g'))"
+
+
+@query(
+    "f6_valid_name_lists",
+    f"WITH {_NAMES_SQL}, parts AS (SELECT doc_id, list_transform(string_split(name, '. '), lambda x: {_NORM_SQL}) AS l FROM raw) SELECT doc_id, array_to_string(list_filter(l, lambda y: {_valid_sql("regexp_replace(y, '[0-9]+', '#', 'g')")}), '|') AS names FROM parts",
+)
+def _(spark, sf_dir):
+    return _raw_names(spark, sf_dir).select("doc_id", F.array_join(names.normalized_valid_names(F.split("name", r"\. ")), "|").alias("names"))
+
+
+#: Names in other scripts with the labels that the public transliteration rules give.
+_SCRIPTS = (("上海", "SHANG HAI"), ("한국", "HANGUG"), ("Київ", "KIIV"), ("Спецморнефтепорт", "SPETSMORNEFTEPORT"), ("Tromsø", "TROMSO"), ("Πάτρα", "PATRA"), ("Łódź", "LODZ"), ("İzmir", "IZMIR"), ("とうきょう", "TOUKIYOU"), (" ", None))
+
+
+@query("f7_other_scripts", "SELECT name, label FROM (VALUES " + ", ".join(f"('{a}', {'NULL' if b is None else repr(b)})" for a, b in _SCRIPTS) + ") t(name, label)")
+def _(spark, sf_dir):
+    return spark.createDataFrame([(a,) for a, _ in _SCRIPTS], "name string").select("name", names.normalize_label(F.col("name")).alias("label"))
+
+
+@query(
+    "f20_mask_lookup",
+    "WITH pt AS (SELECT event_id, CAST(event_id * 7 % 760 AS DOUBLE) / 2 - 190 AS lon, CAST(event_id * 13 % 400 AS DOUBLE) / 2 - 100 AS lat FROM events), ix AS (SELECT *, least(35, floor((90 - lat) / 5)) AS r, least(71, floor((lon + 180) / 5)) AS c FROM pt) SELECT event_id, abs(lat) <= 90 AND abs(lon) <= 180 AND CAST(r * 5 + c AS BIGINT) // 7 % 3 = 0 AS land FROM ix",
+)
+def _(spark, sf_dir):
+    bits = F.transform(F.sequence(F.lit(0), F.lit(71)), lambda c: F.floor((F.col("id") * 5 + c) / 7) % 3 == 0)
+    mask = spark.range(36).select(F.col("id").cast("int").alias("row"), ids.mask_row(bits).alias("changes"))
+    lat, lon = F.col("event_id") * 13 % 400 / 2 - 100, F.col("event_id") * 7 % 760 / 2 - 190
+    e = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", lat.alias("lat"), lon.alias("lon"))
+    d = e.withColumn("row", ids.mask_row_index(F.col("lat"), 36)).join(mask, "row", "left")
+    return d.select("event_id", F.coalesce(ids.mask_lookup(F.col("changes"), F.col("lat"), F.col("lon"), 36, 72), F.lit(False)).alias("land"))

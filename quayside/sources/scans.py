@@ -44,9 +44,12 @@ def anchorage_positions(positions: DataFrame, segments: DataFrame, start: dt.dat
     return p.join(d, ["seg_id", "day"]).select(F.col("ssvid").alias("ident"), "lat", "lon", "timestamp", "destination", "speed")
 
 
-def thinning_positions(positions: DataFrame, start: dt.date, end: dt.date, ssvids: DataFrame | list[str] | None = None) -> DataFrame:
+def thinning_positions(positions: DataFrame, start: dt.date, end: dt.date, ssvids: DataFrame | list[str] | str | None = None) -> DataFrame:
+    """Positions of the range, of all vessels or of those wanted: a table, a list, or the text of a SQL list or subquery."""
     p = positions.where(in_days(F.col("timestamp"), start, end))
-    if isinstance(ssvids, DataFrame):
+    if isinstance(ssvids, str):
+        p = p.where(F.expr(f"ssvid IN ({ssvids})"))
+    elif isinstance(ssvids, DataFrame):
         p = p.join(ssvids.select(F.col(ssvids.columns[0]).alias("ssvid")), "ssvid", "left_semi")
     elif ssvids is not None:
         p = p.where(F.col("ssvid").isin(ssvids))
@@ -74,6 +77,11 @@ def anchorage_source(named: DataFrame) -> DataFrame:
     return named.select(F.col("lat"), F.col("lon"), F.col("s2id"), F.col("label"))
 
 
+def filter_text(spark: SparkSession, given: str) -> str:
+    """A filter as it is given, or the content of the file that @path names."""
+    return spark.read.text(given[1:], wholetext=True).first()["value"].strip() if given.startswith("@") else given
+
+
 def lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.trim("value").alias("ssvid")).where("ssvid != ''")
 

@@ -13,7 +13,7 @@ import __spark_entry__
 from quayside import queries
 from quayside.__main__ import main
 from quayside.adapters import ports, tracks
-from quayside.config import Config
+from quayside.config import Config, load_config
 from quayside.operators import naming, polygons, records
 from quayside.sources import scans, sinks
 
@@ -33,6 +33,23 @@ def test_config_limits():
         Config(min_gap=1440)
 
 
+def test_settings_files(tmp_path):
+    p = tmp_path / "a.yaml"
+    p.write_text("anchorage_entry_distance_km: 2.5\nminimum_port_gap_duration_minutes : 120.0\noverride_path: over.csv\nport_list_paths:\n    - a.csv\n    - /b.csv\n")
+    c = load_config(str(p), max_interseg_nm=5.0)
+    assert (c.entry_km, c.exit_km, c.min_gap, c.max_interseg_nm) == (2.5, 4.0, 120.0, 5.0)
+    assert c.override_path == str(tmp_path / "over.csv") and c.port_lists == (str(tmp_path / "a.csv"), "/b.csv")
+    j = tmp_path / "a.json"
+    j.write_text('{"min_unique_vessels_for_anchorage": 3}')
+    assert load_config(str(j)).min_vessels == 3 and load_config(None) == Config()
+    j.write_text('{"min_vesels": 3}')
+    with pytest.raises(ValueError, match="min_vesels"):
+        load_config(str(j))
+    j.write_text('{"minimum_port_gap_duration_minutes": 1440}')
+    with pytest.raises(ValueError):
+        load_config(str(j))
+
+
 def test_port_lists(spark, tmp_path):
     p = tmp_path / "peru.csv"
     p.write_text('iso3,label,sublabel,latitude,longitude,category\nPER,CALLAO,"PIER, 1",-12.05,-77.15,x\nPER,PAITA,,-5.08,-81.1,\n')
@@ -113,9 +130,32 @@ def test_command_line(spark, tmp_path):
     main(["thin_port_messages", "--positions", f"{t}/pos", "--anchorages", f"{t}/ports", "--output", f"{t}/thin", *dates])
     main(["port_visits", "--thinned", f"{t}/thin", "--vessel_ids", f"{t}/ids", "--output", f"{t}/visits", *dates])
     main(["generate_confidence_voyages", "--input", f"{t}/visits", "-c", "3", "--output", f"{t}/voyages"])
+    (tmp_path / "filter.sql").write_text(f"SELECT ssvid FROM parquet.`{t}/ids` WHERE ssvid < '3'")
+    (tmp_path / "cfg.yaml").write_text("minimum_port_gap_duration_minutes: 600\n")
+    main(["thin_port_messages", "--positions", f"{t}/pos", "--anchorages", f"{t}/ports", "--ssvid_filter", f"@{t}/filter.sql", "--config", f"{t}/cfg.yaml", "--output", f"{t}/some", *dates])
+    some = {r.identifier.split("-")[0] for r in spark.read.parquet(f"{t}/some").select("identifier").distinct().collect()}
+    assert some == {r.ssvid for r in spark.read.parquet(f"{t}/ids").where("ssvid < '3'").collect()}
+    main(["port_visits", "--thinned", f"{t}/thin", "--vessel_ids", f"{t}/ids", "--bad_segs", f"SELECT seg_id FROM parquet.`{t}/ids` WHERE ssvid = '1'", "--output", f"{t}/good", *dates])
+    assert {r.ssvid for r in spark.read.parquet(f"{t}/good").select("ssvid").distinct().collect()} == {r.ssvid for r in spark.read.parquet(f"{t}/visits").where("ssvid <> '1'").select("ssvid").distinct().collect()}
     assert spark.read.parquet(f"{t}/visits").count() > 50 and spark.read.parquet(f"{t}/voyages").count() > 50
 
 
+def test_naming_from_the_command_line(spark, tmp_path):
+    t = str(tmp_path)
+    spark.createDataFrame([("0a", 1.0, 1.0, "X"), ("0b", 2.0, 2.0, "")], "s2id string, lat double, lon double, top_destination string").write.parquet(f"{t}/in")
+    head = "iso3,label,sublabel,latitude,longitude,category\n"
+    (tmp_path / "anchorage_overrides.csv").write_text(head + "PER,Callao,,50,50,\nPER,REMOVE,,60,60,\n")
+    (tmp_path / "world.csv").write_text(head + ",Two,,2.001,2,\n")
+    (tmp_path / "cfg.yaml").write_text("override_path: anchorage_overrides.csv\nport_list_paths: [world.csv]\n")
+    ring = [[0, 0], [3, 0], [3, 3], [0, 3], [0, 0]]
+    (tmp_path / "p.json").write_text(json.dumps({"features": [{"properties": {"ISO_TER1": "", "ISO_SOV1": "AAA"}, "geometry": {"type": "Polygon", "coordinates": [ring]}}]}))
+    main(["name_anchorages", "--input", f"{t}/in", "--polygons", f"{t}/p.json", "--config", f"{t}/cfg.yaml", "--output", f"{t}/out"])
+    got = {(r.label, r.iso3, r.label_source) for r in spark.read.parquet(f"{t}/out").collect()}
+    assert got == {("X", "AAA", "top_destination"), ("TWO", "AAA", "world"), ("CALLAO", "PER", "anchorage_overrides")}
+    with pytest.raises(SystemExit):
+        main(["name_anchorages", "--input", f"{t}/in", "--polygons", f"{t}/p.json", "--output", f"{t}/out"])
+
+
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
