@@ -298,7 +298,7 @@ def sanitise(docs: DataFrame) -> DataFrame:
     d = found.drop("near").join(extra, "_row", "left").where((F.col("base") != "") | F.col("extra").isNotNull())
     # Rows equal in id and text have equal findings: one row for each key.
     d = d.groupBy(F.col("doc_id").alias("_id"), F.col("_h1").alias("_t1"), F.col("_h2").alias("_t2")).agg(F.min("base").alias("_base"), F.min("extra").alias("_extra"))
-    d = stage(d, "pii-edits")  # so that Spark knows its size, and moves no text while it is small
+    d = stage(d, "pii-edits").hint("merge")  # it grows with the corpus: joined by exchange at every size
     j = keyed.join(d, keyed.doc_id.eqNullSafe(d._id) & (keyed._h1 == d._t1) & (keyed._h2 == d._t2), "left")
 
     @F.pandas_udf("string")
