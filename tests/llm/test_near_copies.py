@@ -7,6 +7,7 @@ import random
 import numpy as np
 
 from quayside.llm import near_copies, simhash
+from quayside.llm.vantage import links
 
 
 def words(rng, n):
@@ -111,3 +112,56 @@ def test_whole_table_by_brute_force(spark):
     got = sorted(r.doc_id for r in near_copies.one_of_each(d).collect())
     assert got == [rows[i][0] for i in sorted(set(label))]
     assert len(got) < len(rows)
+
+
+def bits_apart(a, b):
+    x, y = (simhash.fingerprint(" ".join(t).encode(), 4) for t in (a, b))
+    return ((x ^ y) & (1 << 64) - 1).bit_count()
+
+
+def test_tree_groups_by_brute_force(spark):
+    """Every text's fingerprint is op4's, goes through the trees, and no link within the radius is missed."""
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    got = {r.node: r.shard for r in near_copies.tree_groups(near_copies.sketches(d, shingle=5, whole=False)).collect()}
+    fps, of = set(), {}
+    for r in d.collect():
+        text = (r.text or "").encode()
+        fp = simhash.fingerprint(text, 4)
+        fps.add(fp)
+        of.setdefault(near_copies._node(np.unique(simhash.shingle_hashes(text, 5)).tobytes()), set()).add(fp)
+    p = np.array(sorted(fps), np.int64)
+    label = dict.fromkeys(fps)
+    for x in sorted(fps):
+        todo = [x] if label[x] is None else []
+        while todo:
+            if label[y := todo.pop()] is None:
+                label[y] = x
+                todo += p[np.bitwise_count((p ^ y).view(np.uint64)) <= near_copies.RADIUS].tolist()
+    assert got == {k: min(label[x] for x in v) for k, v in of.items()}
+    assert len(set(got.values())) < len(fps)
+
+
+def test_trees_link_what_is_near_and_heads_the_rest(spark, monkeypatch):
+    rng = random.Random(21)
+    near, far, unlike = [], [], []
+    while min(len(near), len(far)) < 10:
+        base = words(rng, 300)
+        other = edited(rng, base, True) if len(near) >= 10 else [*base[:-2], *words(rng, 2)]
+        assert jaccard(base, other) >= 0.8
+        to = near if bits_apart(base, other) <= near_copies.RADIUS else far
+        if len(to) < 10:
+            to.append((base, other))
+    while len(unlike) < 5:  # one line repeated makes the fingerprint; the sets share little else
+        line = words(rng, 7)
+        pair = (line * 60 + words(rng, 20), line * 60 + words(rng, 20))
+        if bits_apart(*pair) <= near_copies.RADIUS:
+            assert jaccard(*pair) < 0.8
+            unlike.append(pair)
+    texts = [t for pair in near + far + unlike for t in pair]
+    want = {2 * i for i in range(20)} | set(range(40, 50))
+    seen = []
+    monkeypatch.setattr(near_copies, "links", lambda fps, *more: seen.extend(r.fp for r in fps.collect()) or links(fps, *more))
+    assert kept(spark, texts) == want
+    assert set(seen) == {simhash.fingerprint(" ".join(t).encode(), 4) for t in texts}
+    monkeypatch.setattr(near_copies, "_open", lambda dealt, *_: dealt.where("false"))  # the trees alone
+    assert kept(spark, texts) == want | {2 * i + 1 for i in range(10, 20)}
